@@ -116,8 +116,8 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], share_of: int, value: str) ->
     part count in the total but are never returned.
     """
     stats = materialize(exact_key_quantiles(df, keys, value, {"median": 0.5}))
-    total = stats.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total"))
-    out = stats.crossJoin(F.broadcast(total)).filter(F.col("n_rows") * share_of >= F.col("total"))
+    total = stats.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+    out = stats.filter(F.col("n_rows") * share_of >= total)
     for k in keys:
         out = out.filter(F.col(k).isNotNull())
     return out.select(*keys, "n_rows", "median")

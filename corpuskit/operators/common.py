@@ -109,10 +109,10 @@ def ordering(order: Sequence[tuple[str, bool]]) -> list[Column]:
     return [F.col(n).desc_nulls_last() if desc else F.col(n).asc_nulls_last() for n, desc in order]
 
 
-def ranked(df: DataFrame, keys: Sequence[str], order: str, rank: str = "rank", per_bucket: int = 50_000) -> DataFrame:
-    """Exact 1-based rank of ``order`` (a unique BIGINT, spread evenly over its range such as
-    a hash) within keys, without gathering a key: counts of hash ranges give offsets and
-    only a range is ranked in one task."""
+def ranked(df: DataFrame, keys: Sequence[str], order: str, rank: str = "rank", ties: Sequence[str] = (), per_bucket: int = 50_000) -> DataFrame:
+    """Exact 1-based rank of ``order`` (a BIGINT spread evenly over its range, such as a
+    hash; then of ``ties``) within keys, without gathering a key: counts of ranges give
+    offsets and only a range is ranked in one task."""
     n = df.count()
     bits = max(0, (max(1, n // per_bucket)).bit_length())
     b = F.shiftright(F.col(order), 64 - bits) if bits else F.lit(0).cast("bigint")
@@ -120,6 +120,6 @@ def ranked(df: DataFrame, keys: Sequence[str], order: str, rank: str = "rank", p
     counts = df.groupBy(*keys, "__b").agg(F.count("*").alias("__n"))
     w = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialize(counts.select(*keys, "__b", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off")))
-    out = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys, "__b").orderBy(order)))
+    out = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys, "__b").orderBy(order, *ties)))
     out = lookup_join(out, offsets, [*keys, "__b"])
     return out.withColumn(rank, (F.col(rank) + F.col("__off")).cast("bigint")).drop("__b", "__off")

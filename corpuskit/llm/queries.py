@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from ..operators.common import norm
 from .components import linked_groups
+from .groupsplit import GroupSplit
+from .overlap import cross_split_pairs, overlap_report
+from .quotas import sample_by_targets
+from .survivor import surviving_records
 from .topn import top_n_per_group
 
 
@@ -54,8 +58,133 @@ r(v, m) AS (SELECT a, a FROM b UNION SELECT b.b, r.m FROM r JOIN b ON r.v = b.a)
 SELECT v AS row_idx, min(m) AS group_idx FROM r GROUP BY v"""
 
 
+def _p4(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    columns = ["source", "generator", "label"]
+    return sample_by_targets(_read(spark, sf_dir, "train_csv"), "path", columns, "sample_weight", _read(spark, sf_dir, "target_mix"), "target_share", "min_rows", one_in=5)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target categories that train_csv can't fill."""
+    return _p4(spark, sf_dir)[1].filter("short").select("source", "generator", "label")
+
+
+def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wanted, available and drawn rows of every target category."""
+    return _p4(spark, sf_dir)[1]
+
+
+def p4_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample itself."""
+    return _p4(spark, sf_dir)[0]
+
+
+_P4 = """WITH p AS (SELECT DISTINCT lower(trim(source)) AS source, lower(trim(generator)) AS generator, label, path FROM train_csv WHERE path IS NOT NULL),
+n AS (SELECT source, generator, label, count(*) AS have FROM p GROUP BY ALL),
+size AS (SELECT count(DISTINCT path) // 5 AS size FROM train_csv)
+SELECT t.source, t.generator, t.label FROM target_mix t LEFT JOIN n USING (source, generator, label), size
+WHERE coalesce(have, 0) < target_share * size OR coalesce(have, 0) < min_rows"""
+
+
+def _p5(spark: SparkSession, sf_dir: str) -> GroupSplit:
+    of = _read(spark, sf_dir, "components").select("row_idx", "split_component_id")
+    g = norm("generator")
+    rows = _read(spark, sf_dir, "scan_index").select("row_idx", "split_hint", F.col("group_id").alias("group"), F.when(~g.isin("", "real", "unknown"), g).alias("generator"))
+    rows = rows.join(of.withColumnRenamed("split_component_id", "split_component"), "row_idx", "left")
+    kinds = {k: k for k in ("split_component", "group", "generator")}
+    return GroupSplit(rows, "row_idx", kinds, "split_hint", {"train": 0.8, "validation": 0.1, "test": 0.1})
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities whose rows carry more than one split hint."""
+    return _p5(spark, sf_dir).torn_entities().select("kind", "entity")
+
+
+def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster and split of every row."""
+    return _p5(spark, sf_dir).rows().withColumnRenamed("id", "row_idx")
+
+
+_P5 = """WITH r AS (SELECT s.*, c.split_component_id, CASE WHEN split_hint IS NULL OR trim(split_hint) = '' THEN 'seen' ELSE lower(trim(split_hint)) END AS hint
+  FROM scan_index s LEFT JOIN components c USING (row_idx))
+SELECT 'split_component' AS kind, split_component_id AS entity FROM r WHERE split_component_id IS NOT NULL GROUP BY 2 HAVING count(DISTINCT hint) > 1
+UNION ALL SELECT 'group', group_id FROM r WHERE group_id IS NOT NULL GROUP BY 2 HAVING count(DISTINCT hint) > 1
+UNION ALL SELECT 'generator', lower(trim(generator)) FROM r WHERE lower(trim(generator)) NOT IN ('', 'real', 'unknown') GROUP BY 2 HAVING count(DISTINCT hint) > 1"""
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of an evaluation and a training row with the same path or nearly the same picture."""
+    return cross_split_pairs(_read(spark, sf_dir, "scan_index"), "row_idx", "path", "phash64", "split_hint")
+
+
+def p6_overlap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation rows that overlap training, by split and source."""
+    return overlap_report(_read(spark, sf_dir, "scan_index"), "row_idx", "path", "phash64", "split_hint", "source")
+
+
+_FIELDS = ["generator", "dataset", "domain", "split_hint", "content_id", "group_id", "pair_group", "prompt_group", "raw_sha1", "pixel_sha1", "phash64", "dhash64"]
+
+
+def _p7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    comp = _read(spark, sf_dir, "components").select("row_idx", "dedup_component_id").filter("dedup_component_id IS NOT NULL")
+    many = comp.groupBy("dedup_component_id").agg(F.count("*").alias("n")).filter("n > 1").select("dedup_component_id")
+    comp = comp.join(many, "dedup_component_id")
+    trust = _read(spark, sf_dir, "manifest_source").groupBy(F.col("name").alias("src")).agg(F.max("sample_weight").alias("trust"))
+    rows = _read(spark, sf_dir, "scan_index").select("row_idx", "source", "read_ok", "width", "height", "mtime", *_FIELDS)
+    rows = rows.join(comp, "row_idx").withColumn("src", norm("source")).join(trust, "src", "left").drop("src")
+    rows = rows.withColumns({
+        "trust": F.coalesce("trust", F.lit(0.0)),
+        "readable": F.coalesce((F.col("read_ok") == 1).cast("int"), F.lit(0)),
+        "area": F.col("width").cast("bigint") * F.col("height"),
+    })
+    rows = rows.withColumn("vote", F.col("trust") * (1 + F.col("readable")))
+    order = [("readable", True), ("trust", True), ("area", True), ("mtime", True), ("row_idx", False)]
+    return surviving_records(rows, "dedup_component_id", order, _FIELDS, "vote")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The surviving row of every component of two or more rows."""
+    return _p7(spark, sf_dir).select("dedup_component_id", "row_idx")
+
+
+def p7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The surviving records with their gaps filled."""
+    return _p7(spark, sf_dir).select("dedup_component_id", "row_idx", "source", *_FIELDS, "filled")
+
+
+_P7 = """WITH m AS (SELECT name, max(sample_weight) AS w FROM manifest_source GROUP BY 1),
+c AS (SELECT dedup_component_id, row_idx, count(*) OVER (PARTITION BY dedup_component_id) AS n FROM components WHERE dedup_component_id IS NOT NULL)
+SELECT dedup_component_id, row_idx FROM (
+  SELECT dedup_component_id, s.row_idx, row_number() OVER (PARTITION BY dedup_component_id ORDER BY coalesce(read_ok = 1, false) DESC, coalesce(w, 0) DESC,
+    CAST(width AS BIGINT) * height DESC NULLS LAST, mtime DESC NULLS LAST, s.row_idx) AS rn
+  FROM c JOIN scan_index s USING (row_idx) LEFT JOIN m ON m.name = lower(trim(s.source)) WHERE n > 1)
+WHERE rn = 1"""
+
+
+_P6 = """WITH r AS (SELECT row_idx, regexp_replace(path, '/(\\.?/)+', '/', 'g') AS p,
+  CASE WHEN trim(phash64) <> '' THEN CAST('0x' || trim(phash64) AS UBIGINT) END AS h,
+  (split_hint IS NULL OR lower(trim(split_hint)) IN ('', 'seen')) AS train FROM scan_index),
+d AS (SELECT h, train FROM r WHERE h IS NOT NULL GROUP BY ALL),
+x AS (SELECT a.h AS e, b.h AS t FROM d a JOIN d b ON NOT a.train AND b.train AND bit_count(xor(a.h, b.h)) <= 5)
+SELECT least(a.row_idx, b.row_idx) AS row_idx_a, greatest(a.row_idx, b.row_idx) AS row_idx_b
+FROM x JOIN r a ON a.h = x.e AND NOT a.train JOIN r b ON b.h = x.t AND b.train
+UNION SELECT least(a.row_idx, b.row_idx), greatest(a.row_idx, b.row_idx) FROM r a JOIN r b ON a.p = b.p AND NOT a.train AND b.train"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_top_rows": p1_top_rows, "p2_found": p2_found}
+    return {
+        "p1_found": p1_found,
+        "p1_top_rows": p1_top_rows,
+        "p2_found": p2_found,
+        "p4_found": p4_found,
+        "p4_report": p4_report,
+        "p4_sample": p4_sample,
+        "p5_found": p5_found,
+        "p5_splits": p5_splits,
+        "p6_found": p6_found,
+        "p6_overlap_report": p6_overlap_report,
+        "p7_found": p7_found,
+        "p7_records": p7_records,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
@@ -63,4 +192,8 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": _P1.format(cols="replay_id"),
         "p1_top_rows": _P1.format(cols="source_norm, hard_type_norm, rank, replay_id, path, priority"),
         "p2_found": _P2,
+        "p4_found": _P4,
+        "p5_found": _P5,
+        "p6_found": _P6,
+        "p7_found": _P7,
     }

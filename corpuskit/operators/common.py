@@ -81,6 +81,15 @@ def lookup_join(
     return out.drop("__salt", "__salt_r", *[f"__k_{c}" for c in on])
 
 
+def spread(df: DataFrame, per_core: int = 4) -> DataFrame:
+    """df in at least ``per_core`` partitions a core, for costly work on each row.
+
+    Only an input whose scan has fewer (a few small files of long texts) is moved.
+    """
+    least = per_core * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= least else df.repartition(least)
+
+
 def norm(c: Column | str) -> Column:
     """Trimmed (spaces of any kind) and lower-cased."""
     c = F.col(c) if isinstance(c, str) else c

@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.common import norm
+from ..operators.common import materialize, norm, spread
 from .components import linked_groups
 from .groupsplit import GroupSplit
+from .leakage import leaked_passages
 from .overlap import cross_split_pairs, overlap_report
+from .packing import pack_documents, packing_report, token_counts
 from .quotas import sample_by_targets
+from .spam import spam_pages
 from .survivor import surviving_records
 from .topn import top_n_per_group
 
@@ -170,6 +173,51 @@ FROM x JOIN r a ON a.h = x.e AND NOT a.train JOIN r b ON b.h = x.t AND b.train
 UNION SELECT least(a.row_idx, b.row_idx), greatest(a.row_idx, b.row_idx) FROM r a JOIN r b ON a.p = b.p AND NOT a.train AND b.train"""
 
 
+def _p8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pack_documents(materialize(token_counts(docs, "doc_id", "text")), _read(spark, sf_dir, "container_spec"))
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bin of every document in each container."""
+    return _p8(spark, sf_dir)
+
+
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins, their lower bound and how far they are filled."""
+    return packing_report(materialize(_p8(spark, sf_dir)), _read(spark, sf_dir, "container_spec"))
+
+
+def _p9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return leaked_passages(docs, "doc_id", "text", _read(spark, sf_dir, "eval_item"), "item_id", "text", min_words=12)
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with twelve consecutive words of an evaluation item."""
+    return _p9(spark, sf_dir).filter("longest >= 12").select("item_id", "doc_id")
+
+
+def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaks with their longest tile and coverage, reordered passages included."""
+    return _p9(spark, sf_dir)
+
+
+def _p10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(_read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return spam_pages(docs, "doc_id", "text", "source")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spam pages."""
+    return _p10(spark, sf_dir).filter("spam").select(F.col("page").alias("doc_id"))
+
+
+def p10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores and features of all pages."""
+    return _p10(spark, sf_dir).withColumnRenamed("page", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -184,6 +232,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p6_overlap_report": p6_overlap_report,
         "p7_found": p7_found,
         "p7_records": p7_records,
+        "p8_containers": p8_containers,
+        "p8_report": p8_report,
+        "p9_found": p9_found,
+        "p9_leaks": p9_leaks,
+        "p10_found": p10_found,
+        "p10_pages": p10_pages,
     }
 
 

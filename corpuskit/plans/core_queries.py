@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from ..operators.common import norm, not_blank
 from ..operators.skew import exact_key_quantiles, heavy_keys, skewed_key_stats
+from . import key_queries
+from .tables import read as _read
 
-
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+MODULES = (key_queries,)
 
 
 def _p3_rows(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
@@ -40,11 +40,14 @@ _SG = "lower(trim(source)) AS source, lower(trim(generator)) AS generator"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found, "p3_key_stats": p3_key_stats, "p3_size_quantiles": p3_size_quantiles}
+    own = {"p3_found": p3_found, "p3_key_stats": p3_key_stats, "p3_size_quantiles": p3_size_quantiles}
+    for m in MODULES:
+        own |= m.QUERIES
+    return own
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    own = {
         "p3_found": f"""SELECT source, generator FROM (SELECT {_SG} FROM scan_index) WHERE source <> '' AND generator <> ''
 GROUP BY 1, 2 HAVING count(*) * 20 >= (SELECT count(*) FROM scan_index)""",
         "p3_key_stats": f"""SELECT source, generator, count(*) AS rows, count(*) FILTER (WHERE read_ok = 1) AS readable,
@@ -56,3 +59,6 @@ max(v) FILTER (WHERE v IS NOT NULL AND r = greatest(1, ceil(0.75 * c))) AS p75,
 FROM (SELECT *, row_number() OVER (PARTITION BY source, generator ORDER BY v NULLS LAST) AS r, count(v) OVER (PARTITION BY source, generator) AS c,
   count(*) OVER (PARTITION BY source, generator) AS n FROM (SELECT {_SG}, file_size_bytes AS v FROM scan_index)) GROUP BY 1, 2""",
     }
+    for m in MODULES:
+        own |= m.SQL
+    return own

@@ -129,7 +129,7 @@ def near_edges(
     reason = F.when(same & close, "near_hash").when(~same & close & F.lit(cross_label), "near_hash_cross_label").when(~same & report, "suspicious_cross_label_near")
     stage = F.when(F.col("reason").startswith("suspicious"), "suspicious").otherwise("dedup")
     j = j.withColumn("reason", reason).filter("reason IS NOT NULL")
-    score = F.format_string("ph=%d,dh=%d,mae=%.2f", "ph", "dh", "mae")
+    score = F.format_string("ph=%d,dh=%d,mae=%.2f", "ph", "dh", F.bround("mae", 2))
     return j.select(*_edge("a", "b", F.col("reason"), score, stage)), members
 
 

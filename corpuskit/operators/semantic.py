@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Mapping, Sequence
 
@@ -48,10 +49,8 @@ def cosine_neighbours(df: DataFrame, row_id: str, source: str, vector: str, thre
     rows = rows.withColumn("v", unit_vector("v"))
     cells = F.array(*[F.floor(dot(F.col("v"), F.array(*[F.lit(x) for x in d])) / r).cast("bigint") for d in dirs])
     rows = materialize(rows.withColumn("cell", cells))
-    near = F.col("cell")
-    around = F.array(F.array().cast("array<bigint>"))
-    for k in range(len(dirs)):
-        around = F.flatten(F.transform(around, lambda p, k=k: F.transform(F.array(*[F.lit(x).cast("bigint") for x in (-1, 0, 1)]), lambda s: F.concat(p, F.array(near[k] + s)))))
+    steps = itertools.product((-1, 0, 1), repeat=len(dirs))
+    around = F.array(*[F.array(*[F.get("cell", F.lit(k)) + x for k, x in enumerate(step)]) for step in steps])
     a = rows.select(F.col("src"), F.col("id").alias("row_a"), F.col("v").alias("va"), F.explode(around).alias("cell"))
     b = rows.select(F.col("src"), F.col("id").alias("row_b"), F.col("v").alias("vb"), "cell")
     pairs = a.join(b, ["src", "cell"]).filter("row_a <> row_b").withColumn("cosine", dot(F.col("va"), F.col("vb"))).filter(F.col("cosine") >= threshold)

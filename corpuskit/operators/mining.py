@@ -45,7 +45,7 @@ def select_hard(
     rest = df.join(chosen.select("path").distinct(), "path", "left_anti")
     if errors_only:
         rest = rest.filter("false")
-    near = pick(rest, 1.0 - F.abs(s - t), -F.abs(s - t), F.lit("uncertain_band"), top_uncertain, weights[2])
+    near = pick(rest, 1.0 - F.abs(s - t), 0.0 - F.abs(s - t), F.lit("uncertain_band"), top_uncertain, weights[2])
     out = chosen.withColumn("__o", F.lit(0)).unionByName(near.withColumn("__o", F.lit(1)))
     first = Window.partitionBy("path").orderBy("__o", "label", F.desc("priority"))
     out = out.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n", "__o")

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from ..operators.common import norm, not_blank
 from ..operators.skew import exact_key_quantiles, heavy_keys, skewed_key_stats
-from . import dedup_queries, key_queries, split_queries
+from . import dedup_queries, key_queries, mining_queries, source_queries, split_queries
 from .tables import read as _read
 
-MODULES = (key_queries, dedup_queries, split_queries)
+MODULES = (key_queries, dedup_queries, split_queries, mining_queries, source_queries)
 
 
 def _p3_rows(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:

@@ -28,7 +28,7 @@ SAMPLE_SCHEMA = Y.StructType([
 
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
     """A CSV of samples; path and label are required, known columns typed, others text."""
-    raw = spark.read.options(**CSV).option("multiLine", True).csv(path)
+    raw = spark.read.options(**CSV).option("nullValue", "\x01").option("multiLine", True).csv(path)  # unquoted nothing is null, "" is text
     missing = {"path", "label"} - set(raw.columns)
     if missing:
         raise ValueError(f"missing columns: {sorted(missing)}")

@@ -127,13 +127,14 @@ class GroupSplit:
         base = rows.select(
             F.col(row_id).alias("id"),
             F.when(h.isNull() | (h == ""), "seen").otherwise(h).alias("hint"),
-            *[F.col(c).cast("string").alias(k) for k, c in entities.items()],
+            *[F.col(c).cast("string").alias(f"e{i}") for i, c in enumerate(entities.values())],
         ).filter("id IS NOT NULL")
-        nodes = [F.when(F.col(k).isNotNull(), F.xxhash64(F.lit(k), F.col(k))) for k in self.kinds]
-        base = base.withColumns({f"n_{k}": n for k, n in zip(self.kinds, nodes)})
-        self.base = materialize(base.withColumn("node", F.coalesce(*[F.col(f"n_{k}") for k in reversed(self.kinds)], F.xxhash64(F.lit("row"), F.col("id").cast("string")))))
-        tuples = self.base.select("node", *[f"n_{k}" for k in self.kinds]).distinct()
-        pairs = tuples.select(F.col("node").alias("a"), F.explode(F.array(*[F.col(f"n_{k}") for k in self.kinds])).alias("b")).filter("b IS NOT NULL AND a <> b")
+        known = [f"n{i}" for i in range(len(self.kinds))]
+        base = base.withColumns({n: F.when(F.col(f"e{i}").isNotNull(), F.xxhash64(F.lit(self.kinds[i]), F.col(f"e{i}"))) for i, n in enumerate(known)})
+        alone = F.xxhash64(F.lit("row"), F.col("id").cast("string"))
+        self.base = materialize(base.withColumn("node", F.coalesce(*[F.col(n) for n in reversed(known)], alone)))
+        tuples = self.base.select("node", *known).distinct()
+        pairs = tuples.select(F.col("node").alias("a"), F.explode(F.array(*known)).alias("b")).filter("b IS NOT NULL AND a <> b")
         self.labels = hierarchical_components(pairs, part_edges)
         # tuples before rows: a cluster with a third of all rows joins as few tuples
         counted = self.base.groupBy("node").agg(F.count("*").alias("rows"))
@@ -173,7 +174,7 @@ class GroupSplit:
         nodes = materialize(lookup_join(self.node_cluster.select("node", "cluster"), mixed, ["cluster"], "left_semi"))
         kept = lookup_join(self.base, nodes, ["node"])
         # entity and hint first: a hot entity leaves a few rows a task
-        each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("entity")) for k in self.kinds])).alias("x")
+        each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"e{i}").alias("entity")) for i, k in enumerate(self.kinds)])).alias("x")
         pairs = kept.select("hint", "cluster", each).select("x.kind", "x.entity", "hint", "cluster").filter("entity IS NOT NULL")
         pairs = pairs.groupBy("kind", "entity", "hint").agg(F.count("*").alias("n"), F.min("cluster").alias("cluster"))
         return pairs.groupBy("kind", "entity").agg(F.sum("n").alias("rows"), F.count("*").alias("hints"), F.min("cluster").alias("cluster")).filter("hints > 1")

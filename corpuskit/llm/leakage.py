@@ -74,7 +74,15 @@ def tiles(doc: str, at: list[int], item: str, starts: list[int], pos: list[int])
     return out
 
 
-def _matcher(items: list[tuple[int, str, list[int]]], chars: int, least: int):
+def seeds_needed(starts: list[int], min_words: int, chars: int) -> int:
+    """Seeds that any ``min_words`` consecutive words of an item hold at least (0: not even one)."""
+    words = len(starts) - 1
+    n = min(min_words, words)
+    held = [sum(s + chars <= starts[k + n] for s in starts[k : k + n]) for k in range(words - n + 1)]
+    return min(held, default=0)
+
+
+def _matcher(items: list[tuple[int, str, list[int]]], chars: int, min_words: int):
     import numpy as np
 
     base = 1_000_003
@@ -91,6 +99,10 @@ def _matcher(items: list[tuple[int, str, list[int]]], chars: int, least: int):
 
     code = lambda t: np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32)
     keys, owners, places = [], [], []
+    # fewer seeds than this cannot make a leak; items of very few letters are looked up as they are
+    needed = [seeds_needed(starts, min_words, chars) for _, _, starts in items]
+    least = [max(1, min(n, 4, len(starts) // 8)) for n, (_, _, starts) in zip(needed, items)]
+    bare = [k for k, n in enumerate(needed) if n == 0]
     for k, (_, text, starts) in enumerate(items):
         h = prints(code(text))
         p = np.array([s for s in starts[:-1] if s < len(h)], dtype=np.int64)
@@ -118,8 +130,15 @@ def _matcher(items: list[tuple[int, str, list[int]]], chars: int, least: int):
             own[1].append(p)
         out = {}
         for k, (a, p) in seeds.items():
-            if len(a) >= least:  # a run of so many words has a seed at nearly each of them
+            if len(a) >= least[k]:
                 out[k] = tiles(text, a, items[k][1], items[k][2], p)
+        for k in bare:
+            _, item, starts = items[k]
+            n = min(min_words, len(starts) - 1)
+            for first in range(len(starts) - n):
+                at = text.find(item[starts[first] : starts[first + n]])
+                if at >= 0:
+                    out[k] = max(out.get(k, []), [(first, n, at)], key=lambda t: sum(x[1] for x in t))
         return out
 
     return match
@@ -163,7 +182,7 @@ def leaked_passages(
             import pandas as pd
 
             listed = [x for x in shared.value if len(x[2]) > 1]
-            match = _matcher(listed, SEED_CHARS, 4)
+            match = _matcher(listed, SEED_CHARS, min_words)
             for pdf in batches:
                 rows = []
                 for doc, t in zip(pdf["doc"].tolist(), pdf["text"].tolist()):

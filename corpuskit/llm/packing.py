@@ -107,9 +107,27 @@ def _pack(pdf):
     pdf["bin"] = bins
     pdf["free"] = np.asarray(free, dtype=np.int64)[bins]
     pdf["gap"] = len(free) - lower_bound(sizes, counts, capacity)
+    emptiest = int(np.argmax(free))
+    pdf["loosest"] = (pdf["bin"] == emptiest) & (pdf["free"] > 0)
     return pdf.astype({"bin": "int64", "free": "int64", "gap": "int64"})
 
 
+def certified_bounds(items: DataFrame) -> DataFrame:
+    """(container, lower_bound) of (container, capacity, size) items.
+
+    The bound needs only the number of items of each size, at most ``capacity`` rows a container.
+    """
+
+    def bound(pdf):
+        import pandas as pd
+
+        name, capacity = pdf["container"].iloc[0], int(pdf["capacity"].iloc[0])
+        return pd.DataFrame([(name, lower_bound(pdf["size"].to_numpy(), pdf["n"].to_numpy(), capacity))], columns=["container", "lower_bound"])
+
+    sizes = items.groupBy("container", "capacity", "size").agg(F.count("*").alias("n"))
+    return sizes.groupBy("container").applyInPandas(bound, "container string, lower_bound bigint")
+
+
 _ITEM = "container string, capacity bigint, doc bigint, piece bigint, start bigint, size bigint, part int"
 
 
@@ -119,7 +137,7 @@ def pack_documents(counts: DataFrame, specs: DataFrame, rounds: int = 4, part_it
     counts: (doc, tokens), one row a document; specs: (container, capacity_tokens), a few rows. A text larger than
     the capacity is cut into full pieces and a rest; all others stay whole. Texts without tokens
     are left out, as are null or non-positive capacities; equal sizes are taken in order of the
-    id. A part packs about ``part_items`` items in one task.
+    id. A part packs about ``part_items`` items in one task, twice as many after each exchange.
     """
     specs = specs.filter("container IS NOT NULL AND capacity_tokens > 0").select("container", F.col("capacity_tokens").cast("bigint").alias("capacity"))
     specs = specs.groupBy("container").agg(F.max("capacity").alias("capacity"))
@@ -138,25 +156,28 @@ def pack_documents(counts: DataFrame, specs: DataFrame, rounds: int = 4, part_it
     parts = max(1, -(-docs // part_items))
     rest = each.filter("tokens % capacity > 0").select("container", "capacity", "doc", whole.alias("piece"), (whole * F.col("capacity")).alias("start"), (F.col("tokens") % F.col("capacity")).alias("size"))
     loose = materialize(rest.withColumn("part", F.pmod(F.xxhash64("doc"), F.lit(parts)).cast("int")))
-    done, before = [], None
+    goal = {x[0]: x[1] for x in certified_bounds(loose).collect()}
+    done, settled = [], dict.fromkeys(goal, 0)
+    count = lambda df: {x[0]: x[1] for x in df.select("container", "bin").distinct().groupBy("container").count().collect()}
+    before: dict[str, int] = {}
     for r in range(rounds):
-        packed = materialize(loose.groupBy("container", "part").applyInPandas(_pack, _ITEM + ", bin bigint, free bigint, gap bigint"))
-        packed_bins = packed.select("container", "part", "bin").distinct().count()
+        packed = materialize(loose.groupBy("container", "part").applyInPandas(_pack, _ITEM + ", bin bigint, free bigint, gap bigint, loosest boolean"))
         release(loose)
-        named = packed.select("container", F.concat_ws("-", "container", F.lit(r), "part", "bin").alias("bin"), "doc", "piece", "start", "size", "capacity", "free", "gap", "part")
-        # a certified part and a full bin are final; a lone gap has nobody to exchange with
-        gaps = {x[0]: x[1] for x in packed.filter("gap > 0").groupBy("container").agg(F.countDistinct("part")).collect()}
-        swap = [c for c, n in gaps.items() if n > 1]
-        last = r == rounds - 1 or not swap or (before is not None and packed_bins >= before)
-        if last:
+        named = packed.select("container", F.concat_ws("-", "container", F.lit(r), "part", "bin").alias("bin"), "doc", "piece", "start", "size", "capacity", "free", "gap", "loosest")
+        now = count(named)
+        # a container at its bound is certified as a whole, and one that a round didn't help is left
+        swap = [c for c, n in now.items() if settled[c] + n > goal[c] and n < before.get(c, n + 1)]
+        if r == rounds - 1 or not swap:
             done.append(named)
             break
-        back = (F.col("gap") > 0) & (F.col("free") > 0) & F.col("container").isin(swap)
+        # full bins and certified parts stay, but for the part's loosest bin
+        back = F.col("container").isin(swap) & (F.col("free") > 0) & ((F.col("gap") > 0) | F.col("loosest"))
         done.append(named.filter(~back))
+        kept, before = count(named.filter(~back)), count(named.filter(back))
+        settled = {c: settled[c] + kept.get(c, 0) for c in settled}
         again = named.filter(back).select("container", "capacity", "doc", "piece", "start", "size")
-        before = named.filter(back).select("bin").distinct().count()
         sizes = [(x[0], x[1]) for x in again.groupBy("container").count().collect()]
-        of = F.coalesce(*[F.when(F.col("container") == c, F.lit(max(1, -(-n // part_items)))) for c, n in sizes], F.lit(1))
+        of = F.coalesce(*[F.when(F.col("container") == c, F.lit(max(1, -(-n // (part_items << (r + 1)))))) for c, n in sizes], F.lit(1))
         loose = materialize(again.withColumn("part", F.pmod(F.xxhash64("doc", F.lit(r)), of).cast("int")))
     out = full
     for d in done:
@@ -165,20 +186,9 @@ def pack_documents(counts: DataFrame, specs: DataFrame, rounds: int = 4, part_it
 
 
 def packing_report(packed: DataFrame, specs: DataFrame) -> DataFrame:
-    """container, capacity, items, tokens, bins, lower_bound, filled, each over all its bins.
-
-    The bound needs only the number of items of each size, at most ``capacity`` rows a container.
-    """
-
-    def bound(pdf):
-        import pandas as pd
-
-        name, capacity = pdf["container"].iloc[0], int(pdf["capacity"].iloc[0])
-        return pd.DataFrame([(name, lower_bound(pdf["tokens"].to_numpy(), pdf["n"].to_numpy(), capacity))], columns=["container", "lower_bound"])
-
+    """container, capacity, items, tokens, bins, lower_bound, filled, each over all its bins."""
     caps = specs.select("container", F.col("capacity_tokens").cast("bigint").alias("capacity"))
-    sizes = packed.groupBy("container", "tokens").agg(F.count("*").alias("n")).join(F.broadcast(caps), "container")
-    bounds = sizes.groupBy("container").applyInPandas(bound, "container string, lower_bound bigint")
+    bounds = certified_bounds(packed.withColumnRenamed("tokens", "size").join(F.broadcast(caps), "container"))
     bins = packed.groupBy("container", "bin").agg(F.count("*").alias("items"), F.sum("tokens").alias("tokens"))
     bins = bins.groupBy("container").agg(F.sum("items").alias("items"), F.sum("tokens").alias("tokens"), F.count("*").alias("bins"))
     out = bins.join(bounds, "container").join(F.broadcast(caps), "container")

@@ -105,9 +105,9 @@ def sample_by_targets(
     key = lambda c: norm(c) if kinds[c] == "string" else F.col(c)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     w = F.when((w > 0) & ~F.isnan(w), w).otherwise(1.0)
-    items = rows.select(F.col(item).alias("item"), *[key(c).alias(c) for c in columns], w.alias("w")).filter("item IS NOT NULL")
-    items = materialize(items.groupBy("item", *columns).agg(F.max("w").alias("w")))
-    total = items.select("item").distinct().count()
+    items = rows.select(F.col(item).alias("__item"), *[key(c).alias(c) for c in columns], w.alias("__w")).filter("__item IS NOT NULL")
+    items = materialize(items.groupBy("__item", *columns).agg(F.max("__w").alias("__w")))
+    total = items.select("__item").distinct().count()
     size = total // one_in
     tkinds = dict(targets.dtypes)
     tkey = lambda c: norm(c) if tkinds[c] == "string" else F.col(c)
@@ -120,26 +120,26 @@ def sample_by_targets(
     cats = {tuple(r[c] for c in columns): k for k, r in enumerate(sorted(listed, key=lambda r: [str(r[c]) for c in columns]))}
     ordered = sorted(listed, key=lambda r: cats[tuple(r[c] for c in columns)])
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns)
-    table = spark.createDataFrame([(*c, k) for c, k in cats.items()], f"{schema}, cat int")
+    table = spark.createDataFrame([(*c, k) for c, k in cats.items()], f"{schema}, __cat int")
     # the table was counted, so it is broadcast
     matched = materialize(lookup_join(items, table, columns).filter(" AND ".join(f"`{c}` IS NOT NULL" for c in columns)))
-    available = {r[0]: r[1] for r in matched.groupBy("cat").count().collect()}
-    first = materialize(matched.groupBy("item").agg(F.min(F.struct("cat", (-F.col("w")).alias("w"))).alias("x")).select("item", "x.cat", (-F.col("x.w")).alias("w")))
-    free = {r[0]: r[1] for r in first.groupBy("cat").count().collect()}
+    available = {r[0]: r[1] for r in matched.groupBy("__cat").count().collect()}
+    first = materialize(matched.groupBy("__item").agg(F.min(F.struct("__cat", (-F.col("__w")).alias("w"))).alias("__x")).select("__item", "__x.__cat", (-F.col("__x.w")).alias("__w")))
+    free = {r[0]: r[1] for r in first.groupBy("__cat").count().collect()}
     have = {c: free.get(k, 0) for c, k in cats.items()}
     target = {c: float(ordered[k]["target_share"] or 0.0) for c, k in cats.items()}
     least = {c: int(ordered[k]["min_rows"] or 0) for c, k in cats.items()}
     x = rake(target, have, size)
     quota = whole_quotas(x, have, least, size)
-    u = (F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("item").cast("string"))), 1, 13), 16, 10).cast("double") + 0.5) / float(16**13)
+    u = (F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__item").cast("string"))), 1, 13), 16, 10).cast("double") + 0.5) / float(16**13)
     # an exponential key falls in (0, inf); its place in that order spread over BIGINT is 1 - exp(-key)
-    place = (1.0 - F.pow(u, 1.0 / F.col("w"))) * float(2**62)
+    place = (1.0 - F.pow(u, 1.0 / F.col("__w"))) * float(2**62)
     place = F.least(place * 2 - float(2**62), F.lit(float(2**62 - 2**12))).cast("bigint") * 2
-    keyed = first.withColumn("__o", place + F.pmod(F.xxhash64("item"), F.lit(2)))
-    quotas = spark.createDataFrame([(k, quota[c], *c) for c, k in cats.items()], f"cat int, quota bigint, {schema}")
-    drawn = lookup_join(ranked(keyed, ["cat"], "__o", "__rank", ["item"]), quotas, ["cat"]).filter(F.col("__rank") <= F.col("quota"))
-    sample = drawn.select(F.col("item").alias(item), *columns, "quota")
-    counted = {r[0]: r[1] for r in drawn.groupBy("cat").count().collect()}
+    keyed = first.withColumn("__o", place + F.pmod(F.xxhash64("__item"), F.lit(2)))
+    quotas = spark.createDataFrame([(k, quota[c], *c) for c, k in cats.items()], f"__cat int, quota bigint, {schema}")
+    drawn = lookup_join(ranked(keyed, ["__cat"], "__o", "__rank", ["__item"]), quotas, ["__cat"]).filter(F.col("__rank") <= F.col("quota"))
+    sample = drawn.select(F.col("__item").alias(item), *columns, "quota")
+    counted = {r[0]: r[1] for r in drawn.groupBy("__cat").count().collect()}
     lines = []
     for c, k in cats.items():
         want, got = target[c] * size, counted.get(k, 0)

@@ -32,24 +32,26 @@ def _tokens(text: str) -> list[str]:
     return out
 
 
-def _align(a: list, b: list, cost) -> list[tuple[int, int]]:
-    """Pairs of positions of a least-cost global alignment; -1 is a gap."""
-    n, m = len(a), len(b)
-    best = [[0.0] * (m + 1) for _ in range(n + 1)]
-    for i in range(1, n + 1):
-        best[i][0] = i
-    for j in range(1, m + 1):
-        best[0][j] = j
-    for i in range(1, n + 1):
-        row, up, x = best[i], best[i - 1], a[i - 1]
-        for j in range(1, m + 1):
-            row[j] = min(up[j - 1] + cost(x, b[j - 1]), up[j] + 1, row[j - 1] + 1)
+def _align(columns: list[dict], seq: list[str]) -> list[tuple[int, int]]:
+    """Pairs of positions of a least-cost global alignment of a profile and tokens; -1 is a gap.
+
+    A token that the column has costs nothing, another 1.5; a gap 1, or a half where the
+    column already has one.
+    """
+    n, m = len(columns), len(seq)
+    skip = [0.5 if "" in c else 1.0 for c in columns]
+    best = [[float(j) for j in range(m + 1)]]
+    for i, c in enumerate(columns):
+        up, row = best[-1], [best[-1][0] + skip[i]]
+        for j, t in enumerate(seq):
+            row.append(min(up[j] + (0.0 if t in c else 1.5), up[j + 1] + skip[i], row[j] + 1.0))
+        best.append(row)
     i, j, pairs = n, m, []
     while i or j:
-        if i and j and best[i][j] == best[i - 1][j - 1] + cost(a[i - 1], b[j - 1]):
+        if i and j and best[i][j] == best[i - 1][j - 1] + (0.0 if seq[j - 1] in columns[i - 1] else 1.5):
             i, j = i - 1, j - 1
             pairs.append((i, j))
-        elif i and best[i][j] == best[i - 1][j] + 1:
+        elif i and best[i][j] == best[i - 1][j] + skip[i - 1]:
             i -= 1
             pairs.append((i, -1))
         else:
@@ -80,7 +82,7 @@ def consensus(values: list[str], weights: list[float]) -> tuple[str, str, int]:
     total = weights[order[0]]
     for k, seq in zip(order[1:], seqs[1:]):
         w, merged = weights[k], []
-        pairs = _align(columns, seq, lambda c, t: 0.0 if t in c else 1.5)
+        pairs = _align(columns, seq)
         for i, j in pairs:
             column = columns[i] if i >= 0 else {"": total}
             token = seq[j] if j >= 0 else ""
@@ -149,10 +151,11 @@ def surviving_records(
     the group's value closest to the token consensus, weighted by ``weight`` (null or not
     positive counts as a small weight); a field that no record has stays null. Filled fields
     come back as strings in ``fields`` order, ``filled`` counts them. Rows with a null group
-    are left out, repeated rows only add weight, other columns of the survivor pass through.
+    are left out, repeated rows only add weight, other columns of the survivor pass
+    through (one named ``filled`` is replaced). No rows give no rows.
     """
     fields = list(fields)
-    rows = rows.filter(F.col(group).isNotNull())
+    rows = rows.drop("filled").filter(F.col(group).isNotNull())
     first = Window.partitionBy(group).orderBy(*ordering(order))
     best = rows.withColumn("__rn", F.row_number().over(first)).filter("__rn = 1").drop("__rn")
     text = {f: F.col(f).cast("string") for f in fields}

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .plaintext import has_numbers, letters
+from .plaintext import letters
 
 #: Characters of a fingerprint (a power of two) and evaluation items matched in one pass.
 SEED_CHARS = 16
@@ -26,7 +26,7 @@ def _item(text: str) -> tuple[str, list[int]]:
     """The item's letters and the start of each word, with the end of the last."""
     starts, parts, at = [], [], 0
     for w in text.split():
-        x = letters(w, numbered=False)
+        x = letters(w)
         if x:
             starts.append(at)
             parts.append(x)
@@ -187,16 +187,15 @@ def leaked_passages(
                 rows = []
                 for doc, t in zip(pdf["doc"].tolist(), pdf["text"].tolist()):
                     best: dict[int, tuple] = {}
-                    for numbered in (True, False) if has_numbers(t) else (True,):
-                        for k, tl in match(letters(t, numbered)).items():
-                            item, words = listed[k][0], len(listed[k][2]) - 1
-                            kept = [n for _, n, _ in tl if n >= tile_words or n == words]
-                            if not kept:
-                                continue
-                            longest, covered = max(kept), sum(kept)
-                            if longest >= min(min_words, words) or covered >= min_coverage * words:
-                                row = (longest, covered, words, len(kept))
-                                best[item] = max(best.get(item, row), row)
+                    for k, tl in match(letters(t)).items():
+                        item, words = listed[k][0], len(listed[k][2]) - 1
+                        kept = [n for _, n, _ in tl if n >= tile_words or n == words]
+                        if not kept:
+                            continue
+                        longest, covered = max(kept), sum(kept)
+                        if longest >= min(min_words, words) or covered >= min_coverage * words:
+                            row = (longest, covered, words, len(kept))
+                            best[item] = max(best.get(item, row), row)
                     rows += [(item, doc, *row) for item, row in best.items()]
                 yield pd.DataFrame(rows, columns=["item", "doc", "longest", "covered", "words", "tiles"]).astype({"item": "int64", "doc": "int64", "longest": "int32", "covered": "int32", "words": "int32", "tiles": "int32"})
 

@@ -10,9 +10,9 @@ _PAIRS = (
 LOOKALIKES = dict(zip(_PAIRS[::2], _PAIRS[1::2]))
 
 
-def letters(text: str, numbered: bool = True) -> str:
-    """Letters and digits only, without case, accents, lookalikes, tags, link targets and,
-    if numbered, without the numbers of list items. Entities are read as their characters."""
+def letters(text: str) -> str:
+    """Letters and digits only, without case, accents, lookalikes, tags and link targets.
+    Entities are read as their characters; numbers of list items are words like any other."""
     import html
     import re
     import unicodedata
@@ -23,15 +23,8 @@ def letters(text: str, numbered: bool = True) -> str:
         text = re.sub(r"<[/!]?[a-zA-Z][^<>]*>", "", text)
     if "](" in text:
         text = re.sub(r"\]\([^()\s]*\)", " ", text)
-    if numbered:
-        text = re.sub(r"(?m)^[ \t>*-]*\d{1,3}[.)][ \t]+", "", text)
     if not text.isascii():
         text = unicodedata.normalize("NFKD", text).casefold()
         text = text.translate({ord(k): v for k, v in LOOKALIKES.items()})
     return re.sub(r"[\W_]+", "", text).casefold()
 
-
-def has_numbers(text: str) -> bool:
-    import re
-
-    return re.search(r"(?m)^[ \t>*-]*\d{1,3}[.)][ \t]+", text) is not None

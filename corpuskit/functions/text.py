@@ -104,6 +104,21 @@ def first_present(df: DataFrame, candidates: Sequence[str], fallback: str = "pat
     return next((c for c in candidates if c in df.columns), fallback)
 
 
+def column_or(df: DataFrame, name: str, source: str = "source") -> Column:
+    """The column as text, null as ``unknown``; if df lacks it, the source derived from the path, the
+    label, or ``unknown``."""
+    if name in df.columns:
+        return text_or(name)
+    if name == source and "path" in df.columns:
+        return source_of_path("path")
+    return text_or("label") if name == "label_source" and "label" in df.columns else F.lit("unknown")
+
+
+def smooth_target(label: Column | str, smoothing: float) -> Column:
+    """The label drawn to one half by ``smoothing``."""
+    return col(label) * (1.0 - smoothing) + 0.5 * smoothing
+
+
 def group_key(columns: Sequence[str], separator: str = "|") -> Column:
     """Joined text of the columns; ``all`` for none."""
     return F.concat_ws(separator, *[text_or(c) for c in columns]) if columns else F.lit("all")

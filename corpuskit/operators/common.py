@@ -81,6 +81,17 @@ def lookup_join(
     return out.drop("__salt", "__salt_r", *[f"__k_{c}" for c in on])
 
 
+def split_join(left: DataFrame, table: DataFrame, on: str, weight: str, hot: int) -> DataFrame:
+    """Inner join of left to a written table that tells how often left holds each key (``weight``).
+
+    Keys held more than ``hot`` times, of which there are at most rows / hot, are broadcast and
+    never shuffled; all others meet in an ordinary join.
+    """
+    few = F.broadcast(table.filter(F.col(weight) > hot).drop(weight))
+    rest = left.join(few.select(on), on, "left_anti").join(table.filter(F.col(weight) <= hot).drop(weight), on)
+    return left.join(few, on).unionByName(rest)
+
+
 def spread(df: DataFrame, per_core: int = 4) -> DataFrame:
     """df in at least ``per_core`` partitions a core, for costly work on each row.
 

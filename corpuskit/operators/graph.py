@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, release
+from .common import materialize, release, split_join
 
 
 def clean_edges(edges: DataFrame, src: str, dst: str) -> DataFrame:
@@ -14,31 +14,38 @@ def clean_edges(edges: DataFrame, src: str, dst: str) -> DataFrame:
     return edges.select(F.least(s, d).alias("a"), F.greatest(s, d).alias("b"), (s.isNotNull() & d.isNotNull() & (s != d)).alias("ok")).filter("ok").select("a", "b").distinct()
 
 
-def star_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def _signature(edges: DataFrame) -> tuple:
+    """Two equal edge sets have equal signatures, others all but surely don't."""
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a", F.lit(1)))).first())
+
+
+def star_components(edges: DataFrame, max_rounds: int = 60, hot: int = 200_000) -> DataFrame:
     """(v, root): every vertex of the (a, b) edges with the smallest vertex of its component.
 
     Alternating large-star and small-star rounds, each a group-by and a join; the number of
-    rounds grows with the logarithm of the largest component. Hot vertices are not gathered:
-    the minimum neighbour is a partial aggregate.
+    rounds grows with the logarithm of the largest component. Hot vertices are not gathered: the
+    minimum neighbour is a partial aggregate, and vertices of more than ``hot`` edges are broadcast.
     """
     e = materialize(edges.select("a", "b"))
+    seen = _signature(e)
     for _ in range(max_rounds):
         # large-star: link every larger neighbour of v to the smallest of v and its neighbours
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("u"), F.col("m").alias("v"))
+        least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("d")))
+        large = split_join(both.filter("b > a"), least, "a", "d", hot).select(F.col("b").alias("u"), F.col("m").alias("v"))
         # small-star: link v and its smaller neighbours to the smallest of them
         down = large.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).filter("a <> b").distinct()
         down = materialize(down)
-        low = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(low, "a")
+        low = materialize(down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("d")))
+        small = split_join(down, low, "a", "d", hot)
         nxt = small.select(F.col("b").alias("u"), "m").unionByName(small.select(F.col("a").alias("u"), "m")).filter("u <> m").distinct()
         nxt = materialize(nxt.select(F.col("m").alias("a"), F.col("u").alias("b")))
-        left = nxt.exceptAll(e).isEmpty() and e.exceptAll(nxt).isEmpty()
-        release(e, down)
-        e = nxt
-        if left:
+        release(e, down, least, low)
+        e, before, seen = nxt, seen, _signature(nxt)
+        if seen == before:
             break
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = e.groupBy("b").agg(F.min("a").alias("root")).select(F.col("b").alias("v"), "root")
     return roots.unionByName(e.select(F.col("a").alias("v"), F.col("a").alias("root")).distinct())
 

@@ -119,3 +119,37 @@ def focus_sources(ratios: DataFrame, source: str, explicit: Sequence[str], min_c
     if auto:
         chosen = chosen | ((F.col("clean_rows") >= min_clean) & (F.col("removed_ratio") <= max_removed))
     return ratios.filter(chosen).select(source)
+
+
+def semantic_pool(rows: DataFrame, seen_only: bool = True, skip_hints: Sequence[str] = ("unseen", "test_unseen"), skip_datasets: Sequence[str] = (), skip_sources: Sequence[str] = ()) -> DataFrame:
+    """Rows that may be pruned: hints in skip_hints only count with seen_only; null names are ``unknown``."""
+    from ..functions.text import split_hint, text_or
+
+    out = rows
+    if seen_only and skip_hints:
+        out = out.filter(~split_hint("split_hint").isin(*skip_hints))
+    if skip_datasets:
+        out = out.filter(~text_or("dataset").isin(*skip_datasets))
+    return out.filter(~text_or("source").isin(*skip_sources)) if skip_sources else out
+
+
+def semantic_index(rows: DataFrame, pool: DataFrame, edges: DataFrame, row_id: str, base: str, source: str = "source") -> DataFrame:
+    """rows with semantic_component_id, its size, tight_split_component_id, keep_ and drop_stage2_semantic.
+
+    pool: the rows that were compared; all others are singletons and kept. Tight ids number the
+    base components that edges connect, in an order of their hashes: ``tight:000000000``.
+    """
+    from .ranking import dense_ids
+
+    inside = semantic_components(pool, edges, row_id, source).select(row_id, "semantic_component_id", "semantic_component_size", "keep_stage2_semantic")
+    tight = tight_units(rows, edges, row_id, base)
+    roots = tight.select("tight_root").distinct().withColumn("n", F.xxhash64("tight_root"))
+    ids = materialize(dense_ids(materialize(roots), "n", "tight:%09d", "tight_split_component_id").join(roots, "n").select("tight_root", "tight_split_component_id"))
+    names = materialize(lookup_join(tight, ids, ["tight_root"]).select(base, "tight_split_component_id"))
+    out = rows.join(materialize(inside), row_id, "left")
+    out = lookup_join(out, names, [base], "left")
+    return out.withColumns({
+        "semantic_component_id": F.coalesce("semantic_component_id", F.format_string("sem:singleton:%09d", row_id)),
+        "semantic_component_size": F.coalesce("semantic_component_size", F.lit(1)),
+        "keep_stage2_semantic": F.coalesce("keep_stage2_semantic", F.lit(1)),
+    }).withColumn("drop_stage2_semantic", 1 - F.col("keep_stage2_semantic"))

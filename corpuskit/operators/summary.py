@@ -69,3 +69,23 @@ def removed_ratio(raw: DataFrame, clean: DataFrame, by: str) -> DataFrame:
     c = clean.groupBy(by).agg(F.count("*").alias("clean_rows"))
     out = r.join(c, by, "left").select(by, "raw_rows", F.coalesce("clean_rows", F.lit(0)).alias("clean_rows"))
     return out.withColumn("removed_ratio", (F.col("raw_rows") - F.col("clean_rows")) / F.greatest("raw_rows", F.lit(1)))
+
+
+def union_first(frames: Sequence[DataFrame], key: str, order: Sequence[str] = ()) -> DataFrame:
+    """All rows of the frames, one a key: that of the first frame, then of ``order``; null keys are left out.
+
+    Columns that a frame lacks are null.
+    """
+    from pyspark.sql import Window
+
+    out = None
+    for i, f in enumerate(frames):
+        part = f.withColumn("__frame", F.lit(i))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    first = Window.partitionBy(key).orderBy("__frame", *order)
+    return out.filter(F.col(key).isNotNull()).withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n", "__frame")
+
+
+def except_keys(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """Rows whose key the other frame doesn't hold; null keys stay."""
+    return df.join(other.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti")

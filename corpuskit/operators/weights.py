@@ -71,3 +71,14 @@ def draw_with_replacement(df: DataFrame, row_id: str, weight: str, n: int, seed:
     draws = draws.withColumn("cell", F.floor(F.col("x") / width))
     out = draws.join(span, "cell").filter("x >= lo AND x < hi")
     return out.select("draw", (F.col("draw") % world).cast("int").alias("process"), F.col("__id").alias(row_id))
+
+
+def draw_epoch(df: DataFrame, row_id: str, mode: str, n: int, seed: int, epoch: int = 0, world: int = 1, group_by: Sequence[str] = ("source",), **weights) -> DataFrame:
+    """draw, process and row of one epoch: ``source_balanced``, ``weighted_source`` and ``group_balanced``
+    draw with replacement by balanced_weights, any other mode draws rows evenly without replacement.
+
+    The epoch is part of the seed; process is the draw number modulo world.
+    """
+    if mode in ("source_balanced", "weighted_source", "group_balanced"):
+        return draw_with_replacement(balanced_weights(df, list(group_by), **weights), row_id, "weight", n, f"{seed}+{epoch}", world)
+    return draw_without_replacement(df.select(row_id).withColumn("weight", F.lit(1.0)), row_id, "weight", n, f"{seed}+{epoch}", world).select("draw", "process", row_id)

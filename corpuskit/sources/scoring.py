@@ -33,6 +33,26 @@ def score_rows(df: DataFrame, factory: ScorerFactory, key: str = "path", views:
     return df.filter(F.col(key).isNotNull()).mapInPandas(run, f"{key} {dict(df.dtypes)[key]}, {name} double")
 
 
+def embed_rows(df: DataFrame, factory: ScorerFactory, key: str = "path") -> DataFrame:
+    """key and the unit-length vector of every row; a model's output over further axes is averaged first.
+
+    The factory builds, once a worker, a function from a pandas batch to an array with one entry a row.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pandas as pd
+
+        embed = factory()
+        for pdf in batches:
+            out = np.asarray(embed(pdf), dtype="float64")
+            out = out.reshape(*out.shape[:2], -1).mean(axis=2)
+            out = out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+            yield pd.DataFrame({key: pdf[key], "vector": list(out.astype("float32"))})
+
+    return df.filter(F.col(key).isNotNull()).mapInPandas(run, f"{key} {dict(df.dtypes)[key]}, vector array<float>")
+
+
 def verdict(path: Column | str, score: Column | str, threshold: float) -> Column:
     """One record of a scored picture as JSON."""
     s = F.col(score) if isinstance(score, str) else score

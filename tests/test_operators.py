@@ -82,6 +82,8 @@ def test_star_components(spark):
     v = spark.createDataFrame([(i,) for i in parent] + [(99_999,)], "v bigint")
     got = {r["v"]: r["component"] for r in G.components(v, "v", edges, "s", "d").collect()}
     assert got == {x: find(x) for x in parent} | {99_999: 99_999}
+    star = spark.createDataFrame([(0, i) for i in range(1, 50)] + [(60, 61)], "a bigint, b bigint")
+    assert {tuple(r) for r in G.star_components(star, hot=5).collect()} == {(i, 0) for i in range(50)} | {(60, 60), (61, 60)}
 
 
 def fill(counts, total, overshoot):

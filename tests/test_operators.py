@@ -80,10 +80,12 @@ def test_star_components(spark):
         parent[max(x, y)] = min(x, y)
     edges = spark.createDataFrame(e + [(None, 1), (2, None), (5, 5)], "s bigint, d bigint")
     v = spark.createDataFrame([(i,) for i in parent] + [(99_999,)], "v bigint")
-    got = {r["v"]: r["component"] for r in G.components(v, "v", edges, "s", "d").collect()}
-    assert got == {x: find(x) for x in parent} | {99_999: 99_999}
+    want = {x: find(x) for x in parent} | {99_999: 99_999}
+    assert {r["v"]: r["component"] for r in G.components(v, "v", edges, "s", "d").collect()} == want
+    rounds = G.star_components(G.clean_edges(edges, "s", "d"), local_rows=0).collect()
+    assert {r["v"]: r["root"] for r in rounds} == {x: r for x, r in want.items() if any(x in p and p[0] != p[1] for p in e)}
     star = spark.createDataFrame([(0, i) for i in range(1, 50)] + [(60, 61)], "a bigint, b bigint")
-    assert {tuple(r) for r in G.star_components(star, hot=5).collect()} == {(i, 0) for i in range(50)} | {(60, 60), (61, 60)}
+    assert {tuple(r) for r in G.star_components(star, hot=5, local_rows=0).collect()} == {(i, 0) for i in range(50)} | {(60, 60), (61, 60)}
 
 
 def fill(counts, total, overshoot):

@@ -14,13 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.common import materialize, norm
+from ..operators.common import lookup_join, materialize, norm
 
 #: Start bit and length of the segments, from the lowest bit.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 MAX_BITS = 5
-#: Highest bits of a segment that choose its shard.
-SHARD_BITS = 5
+#: Distinct values of a shard, and of one side in one task; larger shards are cut into a grid.
+SHARD_VALUES = 20_000
+TASK_VALUES = 100_000
 
 
 def hash_bits(c: Column) -> Column:
@@ -45,7 +46,7 @@ def _segment(h: Column, k: int) -> Column:
 
 
 def _scan(key, evals, trains):
-    """Pairs of one shard. key: (kind, shard); kind 0 to 2 a hash segment, 3 paths."""
+    """Pairs of one shard. key: (kind, shard bits, shard, ...); kind 0 to 2 a hash segment, 3 paths."""
     import ahocorasick
     import numpy as np
     import pandas as pd
@@ -62,14 +63,13 @@ def _scan(key, evals, trains):
         found = [p for p in trains["path"].tolist() for _, p in automaton.iter(f"\n{p}\n")]
         return pd.DataFrame({"e": 0, "t": 0, "distance": 0, "coverage": 1.0, "path": found}).astype(empty.dtypes.to_dict()) if found else empty
     start, length = ((0, 22), (22, 21), (43, 21))[kind]
-    low = length - 5
-    mask = (1 << length) - 1
+    low, shard = length - int(key[1]), int(key[2])
     eh, th = evals["h"].to_numpy(np.int64).view(np.uint64), trains["h"].to_numpy(np.int64).view(np.uint64)
     seg = lambda x, s, n: (x >> np.uint64(s)) & np.uint64((1 << n) - 1)
-    own = (seg(eh, start, length) >> np.uint64(low)).astype(np.int64) == int(key[1])
+    own = (seg(eh, start, length) >> np.uint64(low)).astype(np.int64) == shard
     # in its own shard a hash comes with every flip of the lower bits, elsewhere with the flip that leads there
     base = seg(eh, start, length)
-    moved = (base & np.uint64((1 << low) - 1)) | (np.uint64(int(key[1])) << np.uint64(low))
+    moved = (base & np.uint64((1 << low) - 1)) | (np.uint64(shard) << np.uint64(low))
     ids, words = [np.arange(len(eh))], [moved]
     at = np.flatnonzero(own)
     for b in range(low):
@@ -89,53 +89,79 @@ def _scan(key, evals, trains):
     for i in range(0, len(ts), step):
         text = "".join(["|%06x" % w for w in ts[i : i + step].tolist()])
         hits = np.array([(end // 7, k) for end, k in automaton.iter(text)], dtype=np.int64).reshape(-1, 2)
-        n = last[hits[:, 1]] - first[hits[:, 1]]
-        t = np.repeat(hits[:, 0] + i, n)
-        skip = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        e = ids[np.repeat(first[hits[:, 1]], n) + skip]
-        x = eh[e] ^ th[t]
-        d = np.bitwise_count(x)
-        ok = d <= 5
-        e, t, x, d = e[ok], t[ok], x[ok], d[ok]
-        # each pair comes out of the first segment that finds it; found segments make its coverage
-        near = [np.bitwise_count(seg(x, s, m)) <= 1 for s, m in ((0, 22), (22, 21), (43, 21))]
-        ok = near[kind].copy()
-        for j in range(kind):
-            ok &= ~near[j]
-        covered = sum(f * m for f, m in zip(near, (22, 21, 21))) / 64.0
-        pairs.append(pd.DataFrame({"e": eh[e[ok]].view(np.int64), "t": th[t[ok]].view(np.int64), "distance": d[ok].astype("int32"), "coverage": covered[ok], "path": None}))
+        many = last[hits[:, 1]] - first[hits[:, 1]]
+        # candidates are looked at a few million at a time
+        cuts = np.flatnonzero(np.diff(np.cumsum(many) // 4_000_000, prepend=0))
+        for part in np.split(np.arange(len(hits)), cuts):
+            n, found = many[part], hits[part]
+            t = np.repeat(found[:, 0] + i, n)
+            skip = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            e = ids[np.repeat(first[found[:, 1]], n) + skip]
+            x = eh[e] ^ th[t]
+            d = np.bitwise_count(x)
+            ok = d <= 5
+            e, t, x, d = e[ok], t[ok], x[ok], d[ok]
+            # each pair comes out of the first segment that finds it; found segments make its coverage
+            near = [np.bitwise_count(seg(x, s, m)) <= 1 for s, m in ((0, 22), (22, 21), (43, 21))]
+            ok = near[kind].copy()
+            for j in range(kind):
+                ok &= ~near[j]
+            covered = sum(f * m for f, m in zip(near, (22, 21, 21))) / 64.0
+            pairs.append(pd.DataFrame({"e": eh[e[ok]].view(np.int64), "t": th[t[ok]].view(np.int64), "distance": d[ok].astype("int32"), "coverage": covered[ok], "path": None}))
     out = pd.concat(pairs) if pairs else empty
     return out.drop_duplicates(["e", "t"]).astype({"path": "object"})
 
 
-def _pieces(values: DataFrame, evaluation: bool) -> DataFrame:
-    """Passages of distinct values with the shards they are sent to."""
-    h = F.col("h")
+def _pieces(values: DataFrame, evaluation: bool, bits: int) -> DataFrame:
+    """Passages of distinct hashes with the shards they are sent to: a segment's highest
+    ``bits`` choose its shard, and an evaluation hash also goes where one of them flipped leads."""
     parts = []
     for k, (_, length) in enumerate(SEGMENTS):
-        top = F.shiftrightunsigned(_segment(h, k), length - SHARD_BITS)
-        tops = [top] + ([top.bitwiseXOR(F.lit(1 << b)) for b in range(SHARD_BITS)] if evaluation else [])
+        top = F.shiftrightunsigned(_segment(F.col("h"), k), length - bits)
+        tops = [top] + ([top.bitwiseXOR(F.lit(1 << b)) for b in range(bits)] if evaluation else [])
         parts += [F.struct(F.lit(k).alias("kind"), t.cast("bigint").alias("shard")) for t in tops]
     return values.filter("h IS NOT NULL").select("h", F.explode(F.array(*parts)).alias("x")).select(F.col("x.kind").alias("kind"), F.col("x.shard").alias("shard"), "h", F.lit(None).cast("string").alias("path"))
 
 
-def cross_split_matches(rows: DataFrame, row_id: str, path: str, phash: str, split: str, path_shards: int = 32) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _grid(sides: list[DataFrame], task_values: int) -> list[DataFrame]:
+    """Both sides with grid columns i and j: a shard above ``task_values`` on a side is cut there, and
+    the other side sent to every cut, so that no task holds more."""
+    sizes = [materialize(s.groupBy("kind", "shard").agg(F.ceil(F.count("*") / task_values).cast("int").alias(c)).filter(F.col(c) > 1)) for s, c in zip(sides, "ij")]
+    if all(s.isEmpty() for s in sizes):
+        return [s.withColumns({"i": F.lit(0), "j": F.lit(0)}) for s in sides]
+    out = []
+    for own, s in zip("ij", sides):
+        for c, size in zip("ij", sizes):
+            s = lookup_join(s, size.withColumnRenamed(c, f"n_{c}"), ["kind", "shard"], "left")
+            n = F.coalesce(f"n_{c}", F.lit(1))
+            spot = F.pmod(F.xxhash64("h", "path"), n).cast("int")
+            s = s.withColumn(c, spot) if c == own else s.withColumn(c, F.explode(F.sequence(F.lit(0), n - 1)))
+        out.append(materialize(s.drop("n_i", "n_j")))
+    return out
+
+
+def cross_split_matches(rows: DataFrame, row_id: str, path: str, phash: str, split: str, shard_values: int = SHARD_VALUES, task_values: int = TASK_VALUES) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, hash pairs, paths): the prepared rows, (e, t, distance, coverage) between
     distinct evaluation and training hashes, and the distinct paths on both sides.
 
     A row is for training where its split hint is ``seen``, null or blank. Rows without an id
     are left out; null or blank paths and hashes, and hashes that are not hexadecimal, match
-    nothing; repeated rows count as rows. An empty table gives empty results.
+    nothing; repeated rows count as rows. An empty table gives empty results. The number of shards
+    follows the counted rows.
     """
     r = rows.select(F.col(row_id).alias("id"), plain_path(F.col(path)).alias("p"), hash_bits(F.col(phash)).alias("h"), hint(F.col(split)).alias("split")).filter("id IS NOT NULL")
     r = materialize(r.select("id", F.when(F.trim("p") != "", F.col("p")).alias("p"), "h", "split", (F.col("split") == "seen").alias("train")))
+    wanted = max(1, r.count() // shard_values)
+    bits = max(3, min(18, wanted.bit_length()))
     sides = []
     for evaluation in (True, False):
         own = r.filter(~F.col("train") if evaluation else F.col("train"))
         texts = own.filter("p IS NOT NULL").select("p").distinct()
-        texts = texts.select(F.lit(3).alias("kind"), F.pmod(F.xxhash64("p"), F.lit(path_shards)).cast("bigint").alias("shard"), F.lit(None).cast("bigint").alias("h"), F.col("p").alias("path"))
-        sides.append(_pieces(own.select("h").distinct(), evaluation).unionByName(texts))
-    found = sides[0].groupBy("kind", "shard").cogroup(sides[1].groupBy("kind", "shard")).applyInPandas(_scan, "e bigint, t bigint, distance int, coverage double, path string")
+        texts = texts.select(F.lit(3).alias("kind"), F.pmod(F.xxhash64("p"), F.lit(wanted + 8)).cast("bigint").alias("shard"), F.lit(None).cast("bigint").alias("h"), F.col("p").alias("path"))
+        sides.append(_pieces(own.select("h").distinct(), evaluation, bits).unionByName(texts).withColumn("bits", F.lit(bits)))
+    at = ["kind", "bits", "shard", "i", "j"]
+    ev, tr = _grid(sides, task_values)
+    found = ev.groupBy(*at).cogroup(tr.groupBy(*at)).applyInPandas(_scan, "e bigint, t bigint, distance int, coverage double, path string")
     found = materialize(found)
     return r, found.filter("path IS NULL").drop("path"), found.filter("path IS NOT NULL").select(F.col("path").alias("p"))
 

@@ -6,7 +6,7 @@ import pytest
 
 from corpuskit.llm.components import linked_groups
 from corpuskit.llm.groupsplit import GroupSplit, greedy_counts, hierarchical_components
-from corpuskit.llm.overlap import cross_split_pairs, overlap_report
+from corpuskit.llm.overlap import cross_split_matches, cross_split_pairs, overlap_report
 from corpuskit.llm.quotas import rake, sample_by_targets, whole_quotas
 from corpuskit.llm.survivor import consensus, field_consensus, surviving_records
 from corpuskit.llm.topn import top_n_per_group
@@ -92,7 +92,7 @@ def test_linked_groups_empty(spark):
 def test_hierarchical_components(spark):
     e = [(a, b) for a, b in shapes() if a != b]
     df = spark.createDataFrame(e, "a bigint, b bigint")
-    for part_edges, top in ((30, 2_000_000), (30, 0), (10_000, 2_000_000)):
+    for part_edges, top in ((30, 2_000_000), (30, 0), (10_000, 2_000_000), (5, 2_000_000)):
         got = {r["v"]: r["root"] for r in hierarchical_components(df, part_edges, 3, top).collect()}
         want = union_find(e)
         groups = lambda m: sorted(sorted(v for v in m if m[v] == r) for r in set(m.values()))
@@ -203,6 +203,10 @@ def test_cross_split_pairs(spark):
     ok = [(i, re.sub(r"/(?:\.?/)+", "/", p) if p else None, int(h, 16) if h and h != "zz" else None, (s or "").strip().lower() in ("", "seen")) for i, p, h, s, _, _ in data if i is not None]
     want = {(min(a[0], b[0]), max(a[0], b[0])) for a in ok for b in ok if not a[3] and b[3] and ((a[1] and a[1] == b[1]) or (a[2] is not None and b[2] is not None and (a[2] ^ b[2]).bit_count() <= 5))}
     assert got == want and len(want) > 100
+    pairs = {(r["e"], r["t"]) for r in cross_split_matches(df, "row_idx", "path", "h", "hint")[1].collect()}
+    _, grid, paths = cross_split_matches(df, "row_idx", "path", "h", "hint", shard_values=5, task_values=7)
+    grid = [(r["e"], r["t"]) for r in grid.collect()]
+    assert len(grid) == len(set(grid)) and set(grid) == pairs and paths.count() == paths.distinct().count()
     report = overlap_report(df, "row_idx", "path", "h", "hint", "e").collect()
     assert sum(r["rows"] for r in report) == sum(not r[3] for r in ok)
     hit = {a[0] for a in ok if not a[3] and any((min(a[0], b[0]), max(a[0], b[0])) in want for b in ok if b[3])}

@@ -44,16 +44,20 @@ def _local_forest(batches: Iterator) -> Iterator:
 
 
 def hierarchical_components(edges: DataFrame, part_edges: int = 200_000, fan_in: int = 8, top_edges: int = 2_000_000) -> DataFrame:
-    """(v, root) of (a, b) edges, b being the rarer end that edges are first gathered by.
+    """(v, root) of (a, b) edges, a being the finer end, by which edges are first gathered.
 
-    A part holds about ``part_edges`` edges. Entities found in one part only are settled
-    there; roots and shared entities go up, ``fan_in`` parts to one. Should more than
-    ``top_edges`` edges remain for the last part, star rounds over all executors solve them.
+    A part holds about ``part_edges`` edges; an end with more of them is spread over parts. Entities
+    found in one part only are settled there; roots and shared entities go up, ``fan_in``
+    parts to one. Should more than ``top_edges`` edges remain for the last part, star rounds over
+    all executors solve them.
     """
-    e = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
+    e = materialize(edges.select("a", "b").filter("a <> b").distinct())
     n = e.count()
     parts = max(1, -(-n // part_edges))
-    level = e.withColumn("part", F.pmod(F.xxhash64("a"), F.lit(parts)).cast("int"))
+    hot = materialize(e.groupBy("a").agg(F.count("*").alias("d")).filter(F.col("d") > part_edges).select("a", F.lit(True).alias("hot")))
+    level = lookup_join(e, hot, ["a"], "left")
+    spot = F.when(F.col("hot"), F.xxhash64("a", "b")).otherwise(F.xxhash64("a"))
+    level = level.select(F.pmod(spot, F.lit(parts)).cast("int").alias("part"), F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     settled = []
     while True:
         local = level.repartition(parts, "part").mapInPandas(_local_forest, "part int, v bigint, root bigint")
@@ -68,7 +72,7 @@ def hierarchical_components(edges: DataFrame, part_edges: int = 200_000, fan_in:
         up = marked.filter("shared AND v <> root").select("part", F.col("root").alias("a"), F.col("v").alias("b"))
         parts = -(-parts // fan_in)
         if parts == 1 and up.count() > top_edges:
-            top = materialize(star_components(up.select("a", "b")))
+            top = materialize(star_components(up.select("a", "b"), local_rows=0))
             break
         level = up.withColumn("part", F.expr(f"CAST(part DIV {fan_in} AS INT)"))
     labels = top
@@ -115,7 +119,7 @@ class GroupSplit:
     """Clusters of linked rows and the split each is given to."""
 
     def __init__(self, rows: DataFrame, row_id: str, entities: Mapping[str, str], split_hint: str, targets: Mapping[str, float], part_edges: int = 200_000):
-        """entities: kind -> column (null: the row has none of that kind).
+        """entities: kind -> column (null: the row has none of that kind), the finest kind first.
 
         Rows with a null id are left out; a row without any entity is its own cluster;
         repeated ids count as rows of the same cluster only through their entities. No rows
@@ -132,7 +136,8 @@ class GroupSplit:
         known = [f"n{i}" for i in range(len(self.kinds))]
         base = base.withColumns({n: F.when(F.col(f"e{i}").isNotNull(), F.xxhash64(F.lit(self.kinds[i]), F.col(f"e{i}"))) for i, n in enumerate(known)})
         alone = F.xxhash64(F.lit("row"), F.col("id").cast("string"))
-        self.base = materialize(base.withColumn("node", F.coalesce(*[F.col(n) for n in reversed(known)], alone)))
+        # the first kind is taken for the finest: its tuples are gathered by it
+        self.base = materialize(base.withColumn("node", F.coalesce(*known, alone)))
         tuples = self.base.select("node", *known).distinct()
         pairs = tuples.select(F.col("node").alias("a"), F.explode(F.array(*known)).alias("b")).filter("b IS NOT NULL AND a <> b")
         self.labels = hierarchical_components(pairs, part_edges)

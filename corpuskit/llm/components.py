@@ -7,13 +7,11 @@ labels are restored to the removed vertices in reverse order.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.common import lookup_join, materialize, release
-from ..operators.graph import clean_edges, star_components
+from ..operators.graph import LOCAL_EDGES, clean_edges, star_components
 
 
 def _both(e: DataFrame) -> DataFrame:
@@ -59,42 +57,13 @@ def _compress(e: DataFrame) -> tuple[DataFrame, DataFrame]:
     return out, materialize(gone)
 
 
-def _forest(batches: Iterator) -> Iterator:
-    """(v, root) of the (a, b) edges of one bounded partition by union-find."""
-    import pandas as pd
-
-    parent: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        r = x
-        while parent.setdefault(r, r) != r:
-            r = parent[r]
-        while parent[x] != r:
-            parent[x], x = r, parent[x]
-        return r
-
-    for pdf in batches:
-        for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist()):
-            x, y = find(a), find(b)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-    if parent:
-        yield pd.DataFrame({"v": list(parent), "root": [find(x) for x in parent]}).astype("int64")
-
-
-def _solve(core: DataFrame, edges: int, core_rows: int) -> DataFrame:
-    if edges <= core_rows:
-        return core.coalesce(1).mapInPandas(_forest, "v bigint, root bigint")
-    return star_components(core)
-
-
 def linked_groups(
     edges: DataFrame,
     src: str,
     dst: str,
     strips: int = 3,
     rounds: int = 2,
-    core_rows: int = 500_000,
+    core_rows: int = LOCAL_EDGES,
 ) -> DataFrame:
     """(v, group): every vertex on an edge with the smallest vertex linked to it.
 
@@ -121,7 +90,7 @@ def linked_groups(
         removed.append(gone)
         release(e)
         e, left = rest, rest.count()
-    labels = materialize(_solve(e, left, core_rows))
+    labels = materialize(star_components(e, local_rows=core_rows))
     for gone in reversed(removed):
         # a parent that nothing else holds is the root of what hangs on it
         alone = gone.select(F.col("parent").alias("v")).distinct().join(labels, "v", "left_anti")

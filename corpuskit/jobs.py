@@ -158,7 +158,8 @@ class Semantic:
         edges = None
         for t, k in sorted({(r["cosine_threshold"], r["topk"]) for r in sizes}):
             own = [r["source"] for r in sizes if (r["cosine_threshold"], r["topk"]) == (t, k)]
-            part = X.semantic_edges(X.cosine_neighbours(pool.filter(F.col("source").isin(*own)), "row_idx", "source", "vector", t, k))
+            reps, copies = X.vector_classes(pool.filter(F.col("source").isin(*own)).select("row_idx", "source", "vector"), "row_idx", "source", "vector")
+            part = X.semantic_edges(X.cosine_neighbours(reps, "row_idx", "source", "vector", t, k)).unionByName(copies)
             edges = part if edges is None else edges.unionByName(part)
         edges = materialize(edges)
         base = first_present(rows, self.base_columns)

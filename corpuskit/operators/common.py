@@ -1,5 +1,5 @@
 """Building blocks shared by the operators: written tables that cut lineage,
-size-checked broadcasts, salted joins and ranks that need no single task."""
+size-checked broadcasts, joins that split hot keys and ranks that need no single task."""
 
 from __future__ import annotations
 
@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only when it was written, counted, and has at most so many rows.
 BROADCAST_ROWS = 200_000
-#: Copies of the small side in a salted join, and shares of a hot key on the other.
-SALTS = 16
+#: A key held by more rows than this is never shuffled to one task.
+HOT_ROWS = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,30 +55,44 @@ def broadcast_if_small(table: DataFrame, rows: int | None = None, limit: int = B
     return (F.broadcast(table), True) if n <= limit else (table, False)
 
 
+def _same(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in keys])
+
+
+def renamed_columns(on: Sequence[str]) -> list[Column]:
+    return [F.col(c).alias(f"__k_{c}") for c in on]
+
+
 def lookup_join(
     left: DataFrame,
     table: DataFrame,
     on: Sequence[str],
     how: str = "inner",
     limit: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    hot: int = HOT_ROWS,
 ) -> DataFrame:
     """Join left, which may hold hot keys, to a table with few rows a key.
 
-    Up to ``limit`` counted rows the table is broadcast; beyond it left is salted
-    and the table repeated once per salt, so that no key meets in one task.
+    Up to ``limit`` counted rows the table is broadcast. Beyond it the keys that left holds more
+    than ``hot`` times, of which there are at most rows / hot, are found by a partial aggregate: their
+    rows meet a broadcast of their part of the table where they are, and only all other rows are shuffled.
     Null keys match null keys. how: inner, left, left_semi or left_anti.
     """
-    marked, small = broadcast_if_small(table, limit=limit)
+    on = list(on)
     right_cols = [c for c in table.columns if c not in on]
-    renamed = marked.select(*[F.col(c).alias(f"__k_{c}") for c in on], *right_cols)
-    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in on])
-    if small:
-        return left.join(F.broadcast(renamed), cond, how).drop(*[f"__k_{c}" for c in on])
-    salted = left.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, t in left.dtypes if not t.startswith(("map", "variant"))]), F.lit(salts)).cast("int"))
-    renamed = renamed.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    out = salted.join(renamed, cond & (F.col("__salt") == F.col("__salt_r")), how)
-    return out.drop("__salt", "__salt_r", *[f"__k_{c}" for c in on])
+    names = [f"__k_{c}" for c in on]
+    renamed = table.select(*renamed_columns(on), *right_cols)
+    if broadcast_if_small(table, limit=limit)[1]:
+        return left.join(F.broadcast(renamed), _same(on), how).drop(*names)
+    many = left.groupBy(*on).agg(F.count("*").alias("__n")).filter(F.col("__n") > hot)
+    many = materialize(many.select(*renamed_columns(on)))
+    if many.isEmpty():
+        return left.join(renamed, _same(on), how).drop(*names)
+    few = F.broadcast(many)
+    part = table.join(few, _same(on), "left_semi").select(*renamed_columns(on), *right_cols)
+    stay = left.join(few, _same(on), "left_semi").join(F.broadcast(part), _same(on), how).drop(*names)
+    move = left.join(few, _same(on), "left_anti").join(renamed, _same(on), how).drop(*names)
+    return stay.unionByName(move)
 
 
 def split_join(left: DataFrame, table: DataFrame, on: str, weight: str, hot: int) -> DataFrame:

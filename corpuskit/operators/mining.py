@@ -35,7 +35,7 @@ def select_hard(
 
     def pick(pool: DataFrame, priority, margin, kind, k: int, weight: float) -> DataFrame:
         pool = pool.withColumns({"priority": priority, "margin_to_threshold": margin, "hard_type": kind})
-        return global_top(pool, [F.desc("priority"), F.asc("path")], k).withColumn("sample_weight", F.lit(float(weight)))
+        return global_top(pool, [F.desc("priority"), F.asc("path")], k, "priority").withColumn("sample_weight", F.lit(float(weight)))
 
     wrong = F.col("is_error") == 1
     judged = df.filter(wrong) if errors_only else df
@@ -71,7 +71,7 @@ def cap_buffer(df: DataFrame, most: int, source: str = "source") -> DataFrame:
     # the quota is a limit of the ranking, so every task keeps no more of a source before the shuffle
     kept = materialize(ranked.filter(F.col("__r") <= quota).drop("__r")) if quota else df.limit(0)
     rest = lookup_join(df, kept.select("path"), ["path"], "left_anti")
-    return kept.unionByName(global_top(rest, _order(), most - kept.count()))
+    return kept.unionByName(global_top(rest, _order(), most - kept.count(), "priority"))
 
 
 def merge_buffer(existing: DataFrame | None, new: DataFrame, most: int, source: str = "source") -> DataFrame:

@@ -32,13 +32,26 @@ def _directions(dim: int, count: int, seed: int = 7) -> list[list[float]]:
     return q.T.tolist()
 
 
+def vector_classes(df: DataFrame, row_id: str, source: str, vector: str) -> tuple[DataFrame, DataFrame]:
+    """(representatives, edges): the row of smallest id for every distinct vector of a source, and star
+    edges (source, row_a, row_b, cosine, rank) from it to its exact copies."""
+    rows = df.filter(F.col(row_id).isNotNull() & F.col(source).isNotNull() & F.col(vector).isNotNull())
+    rows = rows.withColumn("__v", F.sha2(F.to_json(F.struct(F.col(vector))), 256))
+    reps = materialize(rows.groupBy(source, "__v").agg(F.min(row_id).alias("__rep"), F.count("*").alias("__n")))
+    copies = lookup_join(rows.select(row_id, source, "__v"), reps.filter("__n > 1").select(source, "__v", "__rep"), [source, "__v"])
+    edges = copies.filter(F.col(row_id) > F.col("__rep")).select(source, F.col("__rep").alias("row_a"), F.col(row_id).alias("row_b"), F.lit(1.0).alias("cosine"), F.lit(1).alias("rank"))
+    own = rows.join(reps.select(source, F.col("__rep").alias(row_id)), [source, row_id], "left_semi").drop("__v")
+    return own, edges
+
+
 def cosine_neighbours(df: DataFrame, row_id: str, source: str, vector: str, threshold: float, topk: int | None = None, dim: int | None = None, directions: int = 3) -> DataFrame:
     """source, row_a, row_b, cosine, rank: pairs of a source at or above threshold, from either side.
 
     Exact blocking: unit vectors with cosine t or more lie within r = sqrt(2 - 2t), so their
     projections on any direction differ by r at most; rows meet only in the same or a
     neighbouring cell of width r. Rank counts from 1, self excluded, ties by the other id; with topk
-    only ranks up to topk - 1 stay. Null ids, sources and vectors match nothing.
+    only ranks up to topk - 1 stay. Null ids, sources and vectors match nothing. Where vectors repeat, bring
+    the representatives of vector_classes, so that copies aren't paired with each other.
     """
     rows = df.select(F.col(row_id).alias("id"), F.col(source).alias("src"), F.col(vector).alias("v")).filter("id IS NOT NULL AND src IS NOT NULL AND v IS NOT NULL")
     if dim is None:

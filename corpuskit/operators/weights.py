@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import shuffle_key, uniform
 from ..functions.text import group_key, number_or
 from .common import lookup_join, materialize
-from .ranking import md5_bucket, running_sums
+from .ranking import global_top, md5_bucket, running_sums, value_buckets
 
 
 def balanced_weights(df: DataFrame, group_by: Sequence[str], alpha: float = 1.0, weight: str | None = None, hard: str | None = None, boost: float = 1.0) -> DataFrame:
@@ -44,9 +44,7 @@ def draw_without_replacement(df: DataFrame, row_id: str, weight: str, n: int, se
     """
     u = F.greatest(uniform(shuffle_key(seed, row_id)), F.lit(2.0**-60))
     rows = df.filter((F.col(weight) > 0) & ~F.isnan(weight)).withColumn("__key", -F.log(u) / F.col(weight))
-    from .ranking import global_top, value_buckets
-
-    top = materialize(global_top(rows, [F.col("__key"), F.col(row_id)], n))
+    top = materialize(global_top(rows, [F.col("__key"), F.col(row_id)], n, "__key", descending=False))
     ranged, b = value_buckets(top, "__key")
     out = running_sums(ranged, [], F.col(b), [F.col("__key"), F.col(row_id)], {"draw": F.lit(1).cast("bigint")})
     return out.withColumn("draw", F.col("draw") - 1).withColumn("process", (F.col("draw") % world).cast("int")).drop("__key", b)

@@ -127,7 +127,9 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _neighbours(spark: SparkSession, sf_dir: str, topk: int | None) -> DataFrame:
-    return X.cosine_neighbours(_vectors(spark, sf_dir), "vec_id", "source", "embedding", _THRESHOLD, topk)
+    """Neighbours between distinct vectors; the SQL takes all rows, of which none repeats a vector."""
+    reps, _ = X.vector_classes(_vectors(spark, sf_dir), "vec_id", "source", "embedding")
+    return X.cosine_neighbours(reps, "vec_id", "source", "embedding", _THRESHOLD, topk)
 
 
 def q_cosine_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

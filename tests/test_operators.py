@@ -20,12 +20,12 @@ from corpuskit.operators import weights as W
 from corpuskit.operators.common import lookup_join, ranked
 
 
-@pytest.mark.parametrize("limit", [0, 200_000])
+@pytest.mark.parametrize("limit,hot", [(0, 1), (0, 500_000), (200_000, 1)])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_lookup_join(spark, rows, limit, how):
+def test_lookup_join(spark, rows, limit, hot, how):
     left = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("b", 4), ("c", 5)], "k string, salt int")
     right = spark.createDataFrame([("a", "x"), (None, "n"), ("d", "y")], "k string, v string")
-    got = rows(lookup_join(left, right if how in ("inner", "left") else right.select("k"), ["k"], how, limit=limit))
+    got = rows(lookup_join(left, right if how in ("inner", "left") else right.select("k"), ["k"], how, limit=limit, hot=hot))
     match = [("a", 1, "x"), ("a", 2, "x"), (None, 3, "n")]
     rest = [("b", 4), ("c", 5)]
     want = {"inner": match, "left": match + [(*r, None) for r in rest], "left_semi": [r[:2] for r in match], "left_anti": rest}[how]
@@ -220,6 +220,22 @@ def test_cosine_neighbours(spark):
     assert X.cosine_neighbours(df.limit(0), "id", "s", "v", 0.5).count() == 0
 
 
+def test_vector_classes(spark, rows):
+    df = spark.createDataFrame([(1, "a", [1.0, 2.0]), (2, "a", [1.0, 2.0]), (3, "b", [1.0, 2.0]), (4, "a", [1.0, 2.5]), (5, "a", [1.0, 2.0]), (None, "a", [1.0, 2.0])], "id bigint, s string, v array<double>")
+    reps, edges = X.vector_classes(df, "id", "s", "v")
+    assert rows(reps, "id") == [(1,), (3,), (4,)] and rows(edges, "row_a", "row_b") == [(1, 2), (1, 5)]
+
+
+def test_global_top_prunes_exactly(spark):
+    rng = random.Random(8)
+    data = [(i, rng.choice([rng.random(), 0.5, None])) for i in range(60_000)]
+    df = spark.createDataFrame(data, "id bigint, v double")
+    got = [r["id"] for r in R.global_top(df, [F.desc_nulls_last("v"), F.asc("id")], 300, "v").collect()]
+    assert sorted(got) == sorted(i for i, _ in sorted(((i, v) for i, v in data if v is not None), key=lambda x: (-x[1], x[0]))[:300])
+    low = [r["id"] for r in R.global_top(df.filter("v IS NOT NULL"), [F.asc("v"), F.asc("id")], 300, "v", descending=False).collect()]
+    assert sorted(low) == sorted(i for i, _ in sorted(((i, v) for i, v in data if v is not None), key=lambda x: (x[1], x[0]))[:300])
+
+
 def test_metrics_match_definition(spark):
     rng = random.Random(6)
     data = [(rng.randrange(2), rng.choice([0.1, 0.2, 0.5, 0.5, rng.random()])) for _ in range(400)] + [(None, 0.3), (1, None), (0, float("nan")), (7, 0.2)]

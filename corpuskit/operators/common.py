@@ -32,6 +32,8 @@ def materialize(df: DataFrame, partitions: int | None = None) -> DataFrame:
     Cuts the lineage; survives the loss of any executor; later reads prune columns.
     """
     spark = df.sparkSession
+    untyped = [c for c, kind in df.dtypes if kind == "void"]  # Parquet has no type for them
+    df = df.withColumns({c: F.col(c).cast("string") for c in untyped}) if untyped else df
     path = f"{shared_dir(spark)}/corpuskit/{uuid.uuid4().hex}"
     (df if partitions is None else df.coalesce(partitions)).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -89,7 +91,9 @@ def lookup_join(
     if many.isEmpty():
         return left.join(renamed, _same(on), how).drop(*names)
     few = F.broadcast(many)
-    part = table.join(few, _same(on), "left_semi").select(*renamed_columns(on), *right_cols)
+    part = materialize(table.join(few, _same(on), "left_semi").select(*renamed_columns(on), *right_cols))
+    if not broadcast_if_small(part, limit=max(limit, BROADCAST_ROWS))[1]:  # no lookup: hot on both sides
+        return left.join(renamed, _same(on), how).drop(*names)
     stay = left.join(few, _same(on), "left_semi").join(F.broadcast(part), _same(on), how).drop(*names)
     move = left.join(few, _same(on), "left_anti").join(renamed, _same(on), how).drop(*names)
     return stay.unionByName(move)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HASHES = "read_ok int, width int, height int, pixel_sha1 string, ahash64 string, dhash64 string, phash64 string, thumb8_hex string, error string"
@@ -42,13 +42,13 @@ def decode_png(data: bytes):
         mode, line = raw[y, 0], raw[y, 1:].astype(np.int64)
         if mode == 2:
             line = line + above
-        elif mode in (1, 3, 4):
+        elif mode == 1:
+            line = np.add.accumulate(line.reshape(width, channels), axis=0).reshape(-1)
+        elif mode in (3, 4):
             for x in range(len(line)):
                 left = line[x - channels] if x >= channels else 0
                 up, corner = above[x], above[x - channels] if x >= channels else 0
-                if mode == 1:
-                    guess = left
-                elif mode == 3:
+                if mode == 3:
                     guess = (left + up) // 2
                 else:
                     p = left + up - corner
@@ -62,6 +62,16 @@ def decode_png(data: bytes):
     return np.repeat(px[:, :, :1], 3, axis=2) if channels < 3 else px[:, :, :3].copy()
 
 
+def decode_raw(data: bytes):
+    """RGB array of the form that read_pixels gives: height,width,channels; and BGR bytes."""
+    import numpy as np
+
+    head, _, body = data.partition(b";")
+    h, w, c = map(int, head.split(b","))
+    px = np.frombuffer(body, np.uint8).reshape(h, w, c)
+    return np.repeat(px, 3, axis=2) if c == 1 else px[:, :, 2::-1].copy()
+
+
 def gray(rgb):
     """Luma as float."""
     import numpy as np
@@ -69,15 +79,19 @@ def gray(rgb):
     return rgb.astype(np.float64) @ np.array([0.299, 0.587, 0.114])
 
 
-def resize(img, height: int, width: int):
+def resize(img, height: int, width: int, cache: dict | None = None):
     """Area-weighted triangle (antialiased bilinear) resampling of a 2-D array."""
     import numpy as np
 
+    cache = {} if cache is None else cache
+
     def matrix(n: int, m: int):
-        scale = max(1.0, n / m)
-        centers = (np.arange(m) + 0.5) * n / m - 0.5
-        w = np.clip(1 - np.abs(np.arange(n)[None, :] - centers[:, None]) / scale, 0, None)
-        return w / w.sum(axis=1, keepdims=True)
+        if (n, m) not in cache:
+            scale = max(1.0, n / m)
+            centers = (np.arange(m) + 0.5) * n / m - 0.5
+            w = np.clip(1 - np.abs(np.arange(n)[None, :] - centers[:, None]) / scale, 0, None)
+            cache[n, m] = w / w.sum(axis=1, keepdims=True)
+        return cache[n, m]
 
     return matrix(img.shape[0], height) @ img @ matrix(img.shape[1], width).T
 
@@ -89,19 +103,23 @@ def bits_hex(bits) -> str:
     return np.packbits(np.asarray(bits, dtype=bool).reshape(-1)).tobytes().hex()
 
 
-def picture_hashes(rgb) -> dict:
-    """Sizes, pixel hash, average, difference and frequency hash, and 8 x 8 thumbnail of a picture."""
+def picture_hashes(rgb, cache: dict | None = None) -> dict:
+    """Sizes, pixel hash, average, difference and frequency hash, and 8 x 8 thumbnail of a picture.
+
+    cache keeps resampling matrices from one picture to the next.
+    """
     import hashlib
 
     import numpy as np
 
     h, w = rgb.shape[:2]
     g = gray(rgb)
-    small = np.round(resize(g, 8, 8))
-    wide = np.round(resize(g, 8, 9))
-    big = np.round(resize(g, 32, 32))
-    k = np.arange(32)
-    basis = np.cos(np.pi * (2 * k[None, :] + 1) * k[:, None] / 64) * np.where(k == 0, np.sqrt(1 / 32), np.sqrt(2 / 32))[:, None]
+    cache = {} if cache is None else cache
+    small, wide, big = (np.round(resize(g, a, b, cache)) for a, b in ((8, 8), (8, 9), (32, 32)))
+    if "dct" not in cache:
+        k = np.arange(32)
+        cache["dct"] = np.cos(np.pi * (2 * k[None, :] + 1) * k[:, None] / 64) * np.where(k == 0, np.sqrt(1 / 32), np.sqrt(2 / 32))[:, None]
+    basis = cache["dct"]
     low = (basis @ big @ basis.T)[:8, :8].reshape(-1)
     frequency = low > np.median(low[1:])
     frequency[0] = False
@@ -130,12 +148,15 @@ def hash_images(df: DataFrame, content: str = "content", decode: Callable = deco
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
+        cache: dict = {}
         for pdf in batches:
+            if len(cache) > 1000:
+                cache.clear()
             rows = []
             for data in pdf["__bytes"]:
                 try:
-                    rows.append(picture_hashes(decode(bytes(data))))
-                except Exception as e:  # a file that can't be read is a row, not a failure
+                    rows.append(picture_hashes(decode(bytes(data)), cache))
+                except Exception as e:  # noqa: BLE001 - a file that can't be read is a row, not a failure
                     rows.append(dict.fromkeys(fields, "") | {"read_ok": 0, "width": -1, "height": -1, "error": f"{type(e).__name__}: {e}"[:200]})
             out = pdf.drop(columns="__bytes").reset_index(drop=True)
             yield pd.concat([out, pd.DataFrame(rows, columns=fields)], axis=1)
@@ -152,6 +173,15 @@ def read_images(df_paths: DataFrame, root: str, recursive: bool = True) -> DataF
     return files.join(df_paths.select("path"), "path", "left_semi")
 
 
+def read_pixels(spark: SparkSession, root: str) -> DataFrame:
+    """path, content of all pictures the JVM can decode (JPEG, PNG, BMP, GIF), for decode_raw; others
+    have null content. No rotation is applied."""
+    pics = spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", "false").load(root).select("image.*")
+    head = F.encode(F.format_string("%d,%d,%d;", "height", "width", "nChannels"), "utf-8")
+    content = F.when(F.col("width") > 0, F.concat(head, F.col("data")))
+    return pics.select(F.regexp_replace("origin", "^file:/*", "/").alias("path"), content.alias("content"))
+
+
 def encode_png(rgb) -> bytes:
     """An 8-bit RGB PNG of an array."""
     import struct

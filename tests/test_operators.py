@@ -32,6 +32,15 @@ def test_lookup_join(spark, rows, limit, hot, how):
     assert sorted(map(str, got)) == sorted(map(str, want))
 
 
+def test_materialize_untyped_columns(spark, rows):
+    from corpuskit.operators.common import materialize, release
+
+    t = materialize(spark.createDataFrame([(1,)], "a int").withColumn("n", F.lit(None)))
+    assert rows(t) == [(1, None)]
+    release(t)
+    assert lookup_join(spark.createDataFrame([("a", 1)] * 5, "k string, x int"), spark.createDataFrame([("a", i) for i in range(3)], "k string, y int"), ["k"], limit=0, hot=2).count() == 15
+
+
 def test_ranked_in_ranges(spark):
     df = spark.range(500).select((F.col("id") % 3).alias("k"), F.xxhash64("id").alias("o"), "id")
     got = ranked(df, ["k"], "o", per_bucket=20).collect()

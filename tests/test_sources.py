@@ -74,6 +74,12 @@ def test_picture_hashes(spark, tree):
     assert bad["read_ok"] == 0 and bad["width"] == -1 and bad["phash64"] == "" and "PNG" in bad["error"]
 
 
+def test_jvm_decoded_pixels(spark, tree):
+    got = {r["path"].rsplit("/", 1)[1]: r for r in I.hash_images(I.read_pixels(spark, f"{tree}/pool/real_a"), decode=I.decode_raw).collect()}
+    assert got["One_real.png"]["pixel_sha1"] == I.picture_hashes(picture(1))["pixel_sha1"]
+    assert got["One_real.png"]["phash64"] == I.picture_hashes(picture(1))["phash64"]
+
+
 def test_hash_definitions():
     flat = np.full((20, 20, 3), 77, np.uint8)
     h = I.picture_hashes(flat)

@@ -188,8 +188,8 @@ def pack_documents(counts: DataFrame, specs: DataFrame, rounds: int = 4, part_it
 def packing_report(packed: DataFrame, specs: DataFrame) -> DataFrame:
     """container, capacity, items, tokens, bins, lower_bound, filled, each over all its bins."""
     caps = specs.select("container", F.col("capacity_tokens").cast("bigint").alias("capacity"))
-    bounds = certified_bounds(packed.withColumnRenamed("tokens", "size").join(F.broadcast(caps), "container"))
+    bounds = certified_bounds(packed.withColumnRenamed("tokens", "size").join(caps, "container"))
     bins = packed.groupBy("container", "bin").agg(F.count("*").alias("items"), F.sum("tokens").alias("tokens"))
     bins = bins.groupBy("container").agg(F.sum("items").alias("items"), F.sum("tokens").alias("tokens"), F.count("*").alias("bins"))
-    out = bins.join(bounds, "container").join(F.broadcast(caps), "container")
+    out = bins.join(bounds, "container").join(caps, "container")
     return out.select("container", "capacity", "items", "tokens", "bins", "lower_bound", F.round(F.col("tokens") / (F.col("bins") * F.col("capacity")), 6).alias("filled"))

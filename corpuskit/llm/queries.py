@@ -218,6 +218,16 @@ def p10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _p10(spark, sf_dir).withColumnRenamed("page", "doc_id")
 
 
+_SEG = "CASE WHEN bit_count(xor(a.h, b.h) >> {0} & {1}) <= 1 THEN {2} ELSE 0 END"
+_P6_REPORT = _P6.split("SELECT least(")[0].replace(
+    "x AS (SELECT a.h AS e, b.h AS t FROM", f"x AS (SELECT a.h AS e, max({_SEG.format(0, 4194303, 22)} + {_SEG.format(22, 2097151, 21)} + {_SEG.format(43, 2097151, 21)}) / 64.0 AS c FROM"
+).rstrip()[:-1] + """ GROUP BY 1),
+s AS (SELECT row_idx, lower(trim(source)) AS source, CASE WHEN split_hint IS NULL OR trim(split_hint) = '' THEN 'seen' ELSE lower(trim(split_hint)) END AS split FROM scan_index),
+p AS (SELECT DISTINCT p FROM r WHERE train),
+v AS (SELECT split, source, greatest(coalesce(c, 0), CASE WHEN p.p IS NOT NULL THEN 1.0 ELSE 0 END) AS c FROM r JOIN s USING (row_idx) LEFT JOIN x ON x.e = r.h LEFT JOIN p ON p.p = r.p WHERE NOT train)
+SELECT split, source, count(*) AS rows, count(*) FILTER (WHERE c > 0) AS overlapping, round(avg(CAST(c AS DOUBLE)), 6) AS mean_coverage FROM v GROUP BY ALL"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -249,5 +259,6 @@ def oracle_sql() -> dict[str, str]:
         "p4_found": _P4,
         "p5_found": _P5,
         "p6_found": _P6,
+        "p6_overlap_report": _P6_REPORT,
         "p7_found": _P7,
     }

@@ -25,7 +25,7 @@ def threshold_curve(df: DataFrame, label: str = "label", score: str = "score", k
     curve = running_sums(ranged, keys, -F.col(b), [F.col("score").desc()], {"tp": F.col("p"), "fp": F.col("n")}).drop(b, "p", "n")
     if not keys:
         whole = each.agg(F.coalesce(F.sum("p"), F.lit(0)).alias("pos"), F.coalesce(F.sum("n"), F.lit(0)).alias("neg")).first()
-        return curve.withColumns({"pos": F.lit(whole[0]), "neg": F.lit(whole[1])})
+        return curve.withColumns({"pos": F.lit(whole[0]).cast("bigint"), "neg": F.lit(whole[1]).cast("bigint")})
     whole = materialize(each.groupBy(*keys).agg(F.sum("p").alias("pos"), F.sum("n").alias("neg")))
     return lookup_join(curve, whole, keys)
 

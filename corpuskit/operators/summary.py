@@ -19,7 +19,7 @@ def top_values(df: DataFrame, columns: Sequence[str], n: int = 20) -> DataFrame:
     from pyspark.sql import Window
 
     w = Window.partitionBy("column").orderBy(F.desc("rows"), "value")
-    return value_counts(df, columns).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return value_counts(df, columns).withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= n)
 
 
 def index_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:

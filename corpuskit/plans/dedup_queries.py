@@ -243,13 +243,13 @@ SQL = {
 c AS (SELECT min(vec_id) AS vec_id, s FROM b GROUP BY s), k AS (SELECT vec_id, j, (s >> (8 * j)::INT) & 255 AS v FROM c, (SELECT unnest(range(8)) AS j)),
 f AS (SELECT *, count(*) OVER (PARTITION BY j, v) AS n FROM k) SELECT DISTINCT x.vec_id AS a, y.vec_id AS b FROM f x JOIN f y ON x.j = y.j AND x.v = y.v AND x.vec_id < y.vec_id WHERE x.n <= 6""",
     "q_edge_distances": f"""WITH e AS (SELECT DISTINCT src_idx, dst_idx FROM edge WHERE src_idx IS NOT NULL AND dst_idx IS NOT NULL)
-SELECT src_idx, dst_idx, coalesce(bit_count(xor({_L.replace('{0}', "nullif(trim(a.phash64), '')")}, {_L.replace('{0}', "nullif(trim(b.phash64), '')")})), 1073741824) AS phash,
-coalesce(bit_count(xor({_L.replace('{0}', "nullif(trim(a.dhash64), '')")}, {_L.replace('{0}', "nullif(trim(b.dhash64), '')")})), 1073741824) AS dhash,
+SELECT src_idx, dst_idx, coalesce(bit_count(xor({_L.replace('{0}', "nullif(trim(a.phash64), '')")}, {_L.replace('{0}', "nullif(trim(b.phash64), '')")})), 1073741824)::BIGINT AS phash,
+coalesce(bit_count(xor({_L.replace('{0}', "nullif(trim(a.dhash64), '')")}, {_L.replace('{0}', "nullif(trim(b.dhash64), '')")})), 1073741824)::BIGINT AS dhash,
 round(CASE WHEN length(a.thumb8_hex) = 128 AND length(b.thumb8_hex) = 128 THEN {_MAE} ELSE -1 END, 6) AS difference,
 round(abs(ln(greatest(coalesce(a.width, 0), 1) / CAST(greatest(coalesce(a.height, 0), 1) AS DOUBLE)) - ln(greatest(coalesce(b.width, 0), 1) / CAST(greatest(coalesce(b.height, 0), 1) AS DOUBLE))), 6) AS aspect
 FROM e JOIN scan_index a ON a.row_idx = src_idx JOIN scan_index b ON b.row_idx = dst_idx""",
-    "q_apply_edges": _ALL + """ SELECT row_idx, path, dedup_root, split_root, n AS dedup_component_size, conflict AS has_label_conflict, crossed AS cross_split_duplicate, canonical AS canonical_path,
-printf('dedup_%08d', di) AS dedup_component_id, sn AS split_component_size, printf('split_%08d', si) AS split_component_id, CAST(pick = 1 AS INT) AS is_canonical, reason AS dedup_drop_reason, CAST(reason = '' AS INT) AS keep_after_dedup FROM applied""",
+    "q_apply_edges": _ALL + """ SELECT row_idx, path, dedup_root, split_root, CAST(n AS INT) AS dedup_component_size, conflict AS has_label_conflict, crossed AS cross_split_duplicate, canonical AS canonical_path,
+printf('dedup_%08d', di) AS dedup_component_id, CAST(sn AS INT) AS split_component_size, printf('split_%08d', si) AS split_component_id, CAST(pick = 1 AS INT) AS is_canonical, reason AS dedup_drop_reason, CAST(reason = '' AS INT) AS keep_after_dedup FROM applied""",
     "q_edge_counts": f"WITH {_EDGES} SELECT stage, reason, count(*) AS edges FROM edges GROUP BY ALL",
     "q_edge_table": """SELECT e.*, a.path AS src_path, a.source AS src_source, a.label AS src_label, c.dedup_component_id AS src_dedup_component_id, c.split_component_id AS src_split_component_id,
 b.path AS dst_path, b.source AS dst_source, b.label AS dst_label, d.dedup_component_id AS dst_dedup_component_id, d.split_component_id AS dst_split_component_id

@@ -120,6 +120,6 @@ SELECT (SELECT count(*) FROM scored WHERE label IN (0, 1)) AS rows, (SELECT roun
 round(average_precision, 6) AS average_precision, round(auroc, 6) AS auroc FROM m""",
     "q_eval_report": _curve() + """, t AS (SELECT unnest([0.3, 0.5, 0.55, 0.6, 0.95])::DOUBLE AS target), b AS (SELECT target, min(score) AS threshold FROM t LEFT JOIN c ON tp / CAST(tp + fp AS DOUBLE) >= target AND tp > 0 GROUP BY 1)
 SELECT target, round(threshold, 6) AS threshold, round(coalesce(tp / CAST(pos AS DOUBLE), 0), 6) AS recall FROM b LEFT JOIN c ON score = threshold""",
-    "q_threshold_curve": _curve() + " SELECT score, tp, fp, pos, neg FROM c",
-    "q_source_curve": _curve("source") + " SELECT source, score, tp, fp, pos, neg FROM c",
+    "q_threshold_curve": _curve() + " SELECT score, tp::BIGINT AS tp, fp::BIGINT AS fp, pos::BIGINT AS pos, neg::BIGINT AS neg FROM c",
+    "q_source_curve": _curve("source") + " SELECT source, score, tp::BIGINT AS tp, fp::BIGINT AS fp, pos::BIGINT AS pos, neg::BIGINT AS neg FROM c",
 }

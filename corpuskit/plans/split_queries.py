@@ -192,7 +192,7 @@ SQL = {
     "q_waterfill": f"WITH {_B}, {fill_sql('f', 'b', 'source', 1003)} SELECT label, g AS source, n AS rows, quota FROM f_q",
     "q_waterfill_overshoot": f"WITH {_B}, {fill_sql('f', 'b', 'source', 1003, overshoot=True)} SELECT label, g AS source, n AS rows, quota FROM f_q",
     "q_balanced_sample": f"WITH {_B}, {take_sql('f', 'b', 'source', 403, '9')} SELECT path, label, source, picked FROM f_m",
-    "q_rule_target": f"WITH {_UNITS} SELECT bucket, sum(rows) AS rows, {_target('sum(rows)', _RULES)} AS target FROM u GROUP BY 1",
+    "q_rule_target": f"WITH {_UNITS} SELECT bucket, CAST(sum(rows) AS BIGINT) AS rows, {_target('sum(rows)', _RULES)} AS target FROM u GROUP BY 1",
     "q_take_until": f"""WITH {_UNITS} SELECT unit, rows, bucket FROM (SELECT *, sum(rows) OVER (PARTITION BY bucket ORDER BY md5('3:' || bucket || ':' || unit), unit) - rows AS before,
 sum(rows) OVER (PARTITION BY bucket) AS bucket_rows FROM u) WHERE before < {_target('bucket_rows', _RULES)}""",
     "q_take_rows": f"""WITH {_UNITS}, x AS (SELECT 1 AS k, bucket FROM orders JOIN u ON unit = o_custkey), {fill_sql('f', 'x', 'bucket', 501, 'k')}

@@ -16,7 +16,7 @@ from .operators import semantic as X
 from .operators import splits as P
 from .operators import summary as S
 from .operators.common import materialize
-from .sources.images import hash_images, read_images
+from .sources.images import hash_files, named_decoder
 from .sources.manifest import load_yaml, save_yaml, scan_manifest, with_row_index
 from .sources.tables import read_samples, upsert_table, write_samples
 
@@ -71,7 +71,11 @@ class Scan:
 
 @dataclass
 class Dedup:
-    """Manifest and picture bytes to hashed index, edges, components and clean index."""
+    """Manifest and picture bytes to hashed index, edges, components and clean index.
+
+    decoder: ``module:function`` from bytes to an RGB array for files that are neither PNG nor decoded
+    by the JVM, such as WebP. The report counts the files left unread by their ending.
+    """
 
     manifest: str
     out_dir: str
@@ -89,6 +93,7 @@ class Dedup:
     hash_buckets: int = 128
     pair_family: str | None = None
     prompt_family: str | None = None
+    decoder: str | None = None
 
     def run(self, spark: SparkSession) -> dict:
         manifest = load_yaml(self.manifest)
@@ -99,7 +104,7 @@ class Dedup:
         for root in dict.fromkeys(r.rstrip("/") for r in roots):
             own = index.filter(F.col("source_root") == root).select("path")
             if not own.isEmpty():
-                part = hash_images(read_images(own, root))
+                part = hash_files(own, root, named_decoder(self.decoder) if self.decoder else None)
                 contents = part if contents is None else contents.unionByName(part)
         index = materialize(index.join(contents, "path", "left"))
         index.write.mode("overwrite").parquet(f"{self.out_dir}/scan_index")
@@ -120,6 +125,7 @@ class Dedup:
                 "raw_by_source": _counts(parts, ["source"])["source"],
                 "clean_by_source": _counts(clean, ["source"])["source"],
                 "drop_reasons": _counts(parts, ["dedup_drop_reason"])["dedup_drop_reason"],
+                "unread_by_ending": _counts(parts.filter("coalesce(read_ok, 0) <> 1").select(F.lower(F.substring_index("path", ".", -1)).alias("ending")), ["ending"])["ending"],
             },
             "edges": {f"{r['stage']}::{r['reason']}": r["edges"] for r in D.edge_counts(edges).collect()},
         }

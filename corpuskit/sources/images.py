@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +10,45 @@ from pyspark.sql import functions as F
 HASHES = "read_ok int, width int, height int, pixel_sha1 string, ahash64 string, dhash64 string, phash64 string, thumb8_hex string, error string"
 
 
+def _png_lines(raw, at: int, height: int, width: int, channels: int, depth: int):
+    """(samples [height, width, channels] as 8 bits or palette places, end) of one pass of filtered lines."""
+    import numpy as np
+
+    size, step = (width * channels * depth + 7) // 8, max(1, channels * depth // 8)
+    end = at + height * (1 + size)
+    lines = raw[at:end].reshape(height, 1 + size)
+    out = np.zeros((height, size), np.uint8)
+    above = np.zeros(size, np.int64)
+    for y in range(height):
+        mode, line = lines[y, 0], lines[y, 1:].astype(np.int64)
+        if mode == 2:
+            line = line + above
+        elif mode == 1:
+            padded = np.concatenate([line, np.zeros(-size % step, np.int64)])
+            line = np.add.accumulate(padded.reshape(-1, step), axis=0).reshape(-1)[:size]
+        elif mode in (3, 4):
+            for x in range(len(line)):
+                left = line[x - step] if x >= step else 0
+                up, corner = above[x], above[x - step] if x >= step else 0
+                if mode == 3:
+                    guess = (left + up) // 2
+                else:
+                    p = left + up - corner
+                    guess = min((left, up, corner), key=lambda v: abs(p - v))
+                line[x] = (line[x] + guess) & 255
+        above = line & 255
+        out[y] = above
+    if depth == 16:
+        out = out[:, ::2]
+    elif depth < 8:
+        bits = np.unpackbits(out, axis=1).reshape(height, -1, depth)
+        out = (bits @ (1 << np.arange(depth - 1, -1, -1))).astype(np.uint8)[:, : width * channels]
+    return out.reshape(height, width, channels), end
+
+
 def decode_png(data: bytes):
-    """RGB array [height, width, 3] of a non-interlaced 8-bit PNG."""
+    """RGB array [height, width, 3] of a PNG of any depth, interlaced or not; of 16 bits the upper
+    eight are kept, transparency is not applied."""
     import struct
     import zlib
 
@@ -25,8 +62,6 @@ def decode_png(data: bytes):
         body = data[at + 8 : at + 8 + size]
         if kind == b"IHDR":
             width, height, depth, color, _, _, lace = struct.unpack(">IIBBBBB", body)
-            if depth != 8 or lace:
-                raise ValueError("only non-interlaced 8-bit PNG")
         elif kind == b"PLTE":
             palette = np.frombuffer(body, np.uint8).reshape(-1, 3)
         elif kind == b"IDAT":
@@ -35,30 +70,19 @@ def decode_png(data: bytes):
             break
         at += 12 + size
     channels = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}[color]
-    raw = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8).reshape(height, 1 + width * channels)
-    out = np.zeros((height, width * channels), np.uint8)
-    above = np.zeros(width * channels, np.int64)
-    for y in range(height):
-        mode, line = raw[y, 0], raw[y, 1:].astype(np.int64)
-        if mode == 2:
-            line = line + above
-        elif mode == 1:
-            line = np.add.accumulate(line.reshape(width, channels), axis=0).reshape(-1)
-        elif mode in (3, 4):
-            for x in range(len(line)):
-                left = line[x - channels] if x >= channels else 0
-                up, corner = above[x], above[x - channels] if x >= channels else 0
-                if mode == 3:
-                    guess = (left + up) // 2
-                else:
-                    p = left + up - corner
-                    guess = min((left, up, corner), key=lambda v: abs(p - v))
-                line[x] = (line[x] + guess) & 255
-        above = line & 255
-        out[y] = above
-    px = out.reshape(height, width, channels)
+    raw = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8)
+    passes = ((0, 0, 8, 8), (0, 4, 8, 8), (4, 0, 8, 4), (0, 2, 4, 4), (2, 0, 4, 2), (0, 1, 2, 2), (1, 0, 2, 1)) if lace else ((0, 0, 1, 1),)
+    px, at = np.zeros((height, width, channels), np.uint8), 0
+    for y, x, down, across in passes:
+        h, w = len(range(y, height, down)), len(range(x, width, across))
+        if h and w:
+            px[y::down, x::across], at = _png_lines(raw, at, h, w, channels, depth)
+    if at != len(raw):
+        raise ValueError("PNG of another size")
     if color == 3:
         return palette[px[:, :, 0]]
+    if depth < 8:
+        px = (px.astype(np.int64) * 255 // ((1 << depth) - 1)).astype(np.uint8)
     return np.repeat(px[:, :, :1], 3, axis=2) if channels < 3 else px[:, :, :3].copy()
 
 
@@ -173,13 +197,55 @@ def read_images(df_paths: DataFrame, root: str, recursive: bool = True) -> DataF
     return files.join(df_paths.select("path"), "path", "left_semi")
 
 
-def read_pixels(spark: SparkSession, root: str) -> DataFrame:
+def read_pixels(spark: SparkSession, root: str, endings: Sequence[str] | None = None) -> DataFrame:
     """path, content of all pictures the JVM can decode (JPEG, PNG, BMP, GIF), for decode_raw; others
-    have null content. No rotation is applied."""
-    pics = spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", "false").load(root).select("image.*")
+    have null content or no row. endings: only files with these, in lower case. No rotation is applied."""
+    pics = spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", "false").option("ignoreCorruptFiles", "true").load(root)
+    if endings is not None:
+        pics = pics.filter(F.lower(F.substring_index("_metadata.file_name", ".", -1)).isin(list(endings)))
+    pics = pics.select("image.*")
     head = F.encode(F.format_string("%d,%d,%d;", "height", "width", "nChannels"), "utf-8")
     content = F.when(F.col("width") > 0, F.concat(head, F.col("data")))
-    return pics.select(F.regexp_replace("origin", "^file:/*", "/").alias("path"), content.alias("content"))
+    plain = F.url_decode(F.replace("origin", F.lit("+"), F.lit("%2B")))
+    return pics.select(F.regexp_replace(plain, "^file:/*", "/").alias("path"), content.alias("content"))
+
+
+def named_decoder(name: str) -> Callable:
+    """The function bytes -> RGB array that ``module:function`` names, imported where it runs."""
+
+    def decode(data: bytes):
+        import importlib
+
+        module, function = name.split(":")
+        return getattr(importlib.import_module(module), function)(data)
+
+    return decode
+
+
+def hash_files(paths: DataFrame, root: str, decode: Callable | None = None) -> DataFrame:
+    """path, raw_sha1 and the HASHES columns of the files under root that paths names.
+
+    Files go to one decoder after the other until one reads them: decode_png, the JVM's (JPEG, BMP,
+    GIF), ``decode``. raw_sha1 is always that of the file. Files that none reads keep read_ok 0.
+    """
+    from ..operators.common import materialize
+
+    fields = [f.split()[0] for f in HASHES.split(", ")]
+    out = materialize(hash_images(read_images(paths, root)))
+    for again in ("jvm", "own"):
+        left = out.filter("read_ok = 0").select("path")
+        if again == "own" and decode is None or left.isEmpty():
+            continue
+        if again == "jvm":
+            endings = [r[0] for r in left.select(F.lower(F.substring_index("path", ".", -1))).distinct().collect()]
+            pixels = read_pixels(paths.sparkSession, root, endings).filter("content IS NOT NULL").join(left, "path", "left_semi")
+            found = hash_images(pixels, decode=decode_raw)
+        else:
+            found = hash_images(read_images(left, root), decode=decode)
+        found = found.filter("read_ok = 1").select("path", F.struct(*fields).alias("__found"))
+        merged = [F.when(F.col("__found").isNotNull(), F.col(f"__found.{c}")).otherwise(F.col(c)).alias(c) for c in fields]
+        out = materialize(out.join(found, "path", "left").select("path", "raw_sha1", *merged))
+    return out
 
 
 def encode_png(rgb) -> bytes:

@@ -1,5 +1,8 @@
 """The commands one after the other over a small tree of pictures."""
 
+import hashlib
+import sys
+
 import numpy as np
 import pytest
 import yaml
@@ -90,3 +93,31 @@ def test_small_pieces(spark, rows):
     assert len({r["id"] for r in even.collect()}) == 30
     one, two = (draw_epoch(ids, "id", "source_balanced", 40, 1, epoch=e).collect() for e in (0, 1))
     assert len(one) == 40 and [r["id"] for r in sorted(one)] != [r["id"] for r in sorted(two)]
+
+
+def test_dedup_of_every_format(spark, tmp_path):
+    from tests.test_sources import jvm_picture, laced_png
+
+    d, rng = tmp_path / "pool" / "real_a", np.random.default_rng(2)
+    d.mkdir(parents=True)
+    for i, (name, kind) in enumerate((("a b+c%20.jpg", "jpg"), ("b.JPEG", "jpg"), ("c.bmp", "bmp"), ("named.png", "jpg"))):
+        (tmp_path / f"{i}.png").write_bytes(encode_png(smooth(rng)))
+        jvm_picture(spark, tmp_path / f"{i}.png", d / name, kind)
+    (d / "copy.jpg").write_bytes((d / "b.JPEG").read_bytes())
+    (d / "same_as_c.png").write_bytes((tmp_path / "2.png").read_bytes())
+    (d / "laced.png").write_bytes(laced_png(smooth(rng).astype(int) * 257))
+    (d / "cut.jpg").write_bytes((d / "b.JPEG").read_bytes()[:60])
+    (d / "other.webp").write_bytes(b"RIFF")
+    manifest = tmp_path / "m.yaml"
+    manifest.write_text(yaml.safe_dump({"sources": [{"path": str(d), "label": 0, "name": "real_a"}]}))
+    report = build("dedup", {"manifest": str(manifest), "out_dir": f"{tmp_path}/out"}).run(spark)
+    assert report["summary"]["rows"] == 9 and report["summary"]["unread_by_ending"] == {"jpg": 1, "webp": 1}
+    assert report["summary"]["drop_reasons"] == {"": 5, "duplicate_noncanonical": 2, "read_error": 2}
+    index = {r["filename"]: r for r in spark.read.parquet(f"{tmp_path}/out/scan_index").collect()}
+    assert index["b.JPEG"]["raw_sha1"] == hashlib.sha1((d / "b.JPEG").read_bytes()).hexdigest()
+    assert index["c.bmp"]["pixel_sha1"] == index["same_as_c.png"]["pixel_sha1"] != "" and index["a b+c%20.jpg"]["width"] == 40
+    (tmp_path / "own_webp.py").write_text("import numpy as np\n\n\ndef read(data):\n    assert data[:4] == b'RIFF'\n    return np.full((9, 9, 3), 7, np.uint8)\n")
+    sys.path.insert(0, str(tmp_path))
+    spark.sparkContext.addPyFile(str(tmp_path / "own_webp.py"))
+    report = build("dedup", {"manifest": str(manifest), "out_dir": f"{tmp_path}/own", "decoder": "own_webp:read"}).run(spark)
+    assert report["summary"]["unread_by_ending"] == {"jpg": 1}

@@ -172,3 +172,43 @@ def test_streamed_buffer(spark, tmp_path, rows):
     q = rates.writeStream.format("memory").queryName("rates").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert rows(spark.table("rates"), "source", "rows", "errors") == [("a", 1, 0), ("a", 6, 6), ("b", 1, 1)]
+
+
+def laced_png(rgb16):
+    """A 16-bit RGB PNG in Adam7 passes."""
+    import struct
+    import zlib
+
+    h, w, _ = rgb16.shape
+    body = b""
+    for y, x, down, across in ((0, 0, 8, 8), (0, 4, 8, 8), (4, 0, 8, 4), (0, 2, 4, 4), (2, 0, 4, 2), (0, 1, 2, 2), (1, 0, 2, 1)):
+        for line in rgb16[y::down, x::across]:
+            body += b"\0" + line.astype(">u2").tobytes() if line.size else b""
+    chunk = lambda k, b: struct.pack(">I", len(b)) + k + b + struct.pack(">I", zlib.crc32(k + b))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 16, 2, 0, 0, 1)) + chunk(b"IDAT", zlib.compress(body)) + chunk(b"IEND", b"")
+
+
+def gray_png(values, depth):
+    """A gray PNG of less than 8 bits a sample."""
+    import struct
+    import zlib
+
+    h, w = values.shape
+    bits = (values[:, :, None] >> np.arange(depth - 1, -1, -1) & 1).reshape(h, w * depth)
+    body = b"".join(b"\0" + line.tobytes() for line in np.packbits(bits.astype(np.uint8), axis=1))
+    chunk = lambda k, b: struct.pack(">I", len(b)) + k + b + struct.pack(">I", zlib.crc32(k + b))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, depth, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(body)) + chunk(b"IEND", b"")
+
+
+@pytest.mark.parametrize("size", [(1, 1), (3, 5), (13, 9)])
+def test_png_depths(size):
+    rgb = np.random.default_rng(5).integers(0, 1 << 16, (*size, 3))
+    assert (I.decode_png(laced_png(rgb)) == rgb >> 8).all()
+    for depth in (1, 2, 4):
+        v = np.random.default_rng(depth).integers(0, 1 << depth, size)
+        assert (I.decode_png(gray_png(v, depth)) == (v * 255 // ((1 << depth) - 1))[:, :, None]).all()
+
+
+def jvm_picture(spark, png, path, kind):
+    io, file = spark._jvm.javax.imageio.ImageIO, spark._jvm.java.io.File
+    assert io.write(io.read(file(str(png))), kind, file(str(path)))

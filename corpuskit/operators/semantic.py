@@ -72,6 +72,27 @@ def cosine_neighbours(df: DataFrame, row_id: str, source: str, vector: str, thre
     return out if topk is None else out.filter(F.col("rank") <= max(2, topk) - 1)
 
 
+def member_neighbours(reps: DataFrame, neighbours: DataFrame, copies: DataFrame, row_id: str, source: str, topk: int) -> DataFrame:
+    """cosine_neighbours of all rows from those of the representatives with the same topk.
+
+    reps, copies: of vector_classes. Exact copies have cosine 1. Of a class only its first rows can be
+    among the nearest of another row, and all rows of a class choose from one list of topk rows.
+    """
+    keep = max(2, topk) - 1
+    members = reps.select(source, F.col(row_id).alias("rep"), F.col(row_id).alias("id")).unionByName(copies.select(source, F.col("row_a").alias("rep"), F.col("row_b").alias("id")))
+    members = materialize(members)
+    place = F.row_number().over(Window.partitionBy(source, "rep").orderBy("id"))
+    firsts = materialize(members.withColumn("__p", place).filter(F.col("__p") <= keep + 1).drop("__p"))
+    pairs = neighbours.select(source, F.col("row_a").alias("rep_a"), F.col("row_b").alias("rep"), "cosine")
+    pairs = pairs.unionByName(reps.select(source, F.col(row_id).alias("rep_a"), F.col(row_id).alias("rep"), F.lit(1.0).alias("cosine")))
+    pairs = lookup_join(pairs, firsts, [source, "rep"]).select(source, F.col("rep_a").alias("rep"), F.col("id").alias("row_b"), "cosine")
+    nearest = lambda a: Window.partitionBy(source, a).orderBy(F.desc("cosine"), "row_b")
+    lists = materialize(pairs.withColumn("__p", F.row_number().over(nearest("rep"))).filter(F.col("__p") <= keep + 1).drop("__p"))
+    out = lookup_join(members.withColumnRenamed("id", "row_a"), lists, [source, "rep"]).filter("row_a <> row_b")
+    out = out.withColumn("rank", F.row_number().over(nearest("row_a"))).filter(F.col("rank") <= keep)
+    return out.select(source, "row_a", "row_b", "cosine", "rank")
+
+
 def semantic_edges(neighbours: DataFrame) -> DataFrame:
     """Each pair once: kept where the smaller id lists the larger."""
     return neighbours.filter("row_a < row_b")

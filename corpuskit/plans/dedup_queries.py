@@ -126,21 +126,25 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "embeddings").select("vec_id", F.col("label").cast("string").alias("source"), "embedding")
 
 
-def _neighbours(spark: SparkSession, sf_dir: str, topk: int | None) -> DataFrame:
-    """Neighbours between distinct vectors; the SQL takes all rows, of which none repeats a vector."""
-    reps, _ = X.vector_classes(_vectors(spark, sf_dir), "vec_id", "source", "embedding")
-    return X.cosine_neighbours(reps, "vec_id", "source", "embedding", _THRESHOLD, topk)
-
-
 def q_cosine_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pairs of a source above the threshold with their rank."""
-    n = _neighbours(spark, sf_dir, None)
+    """All pairs of a source above the threshold, those of exact copies included."""
+    n = X.cosine_neighbours(_vectors(spark, sf_dir), "vec_id", "source", "embedding", _THRESHOLD)
     return n.withColumn("cosine", F.round("cosine", 6)).drop("rank")
 
 
 def q_semantic_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges of the three nearest above the threshold."""
-    return X.semantic_edges(_neighbours(spark, sf_dir, 4)).select("source", "row_a", "row_b", F.round("cosine", 6).alias("cosine"))
+    reps, copies = X.vector_classes(_vectors(spark, sf_dir), "vec_id", "source", "embedding")
+    n = X.cosine_neighbours(reps, "vec_id", "source", "embedding", _THRESHOLD, 4)
+    n = X.member_neighbours(reps, n, copies, "vec_id", "source", 4)
+    return X.semantic_edges(n).select("source", "row_a", "row_b", F.round("cosine", 6).alias("cosine"))
+
+
+def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges that connect what all pairs above the threshold connect: those between distinct vectors,
+    and from each to its exact copies."""
+    reps, copies = X.vector_classes(_vectors(spark, sf_dir), "vec_id", "source", "embedding")
+    return X.semantic_edges(X.cosine_neighbours(reps, "vec_id", "source", "embedding", _THRESHOLD)).unionByName(copies)
 
 
 def _prunable(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,13 +153,13 @@ def _prunable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_semantic_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = X.semantic_edges(_neighbours(spark, sf_dir, None))
+    e = _links(spark, sf_dir)
     out = X.semantic_components(_prunable(spark, sf_dir), e, "vec_id", "source")
     return out.select("vec_id", "semantic_component_id", "semantic_component_size", "keep_stage2_semantic", "drop_stage2_semantic")
 
 
 def q_tight_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = X.semantic_edges(_neighbours(spark, sf_dir, None))
+    e = _links(spark, sf_dir)
     return X.tight_units(_prunable(spark, sf_dir), e, "vec_id", "base")
 
 

@@ -49,3 +49,19 @@ def test_core_query(spark, name):
 def test_entry(spark):
     assert callable(entry.entry) and set(entry.oracle_sql()) <= set(entry.queries())
     assert set(core_queries.queries()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", ["q_cosine_neighbours", "q_semantic_edges", "q_semantic_prune", "q_tight_units"])
+def test_repeated_vectors(spark, tmp_path, monkeypatch, name):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(20, 8))
+    base[10:14] = base[:4] + rng.normal(size=(4, 8)) * 0.2
+    of = [*range(20), *rng.integers(0, 20, 25), *[3] * 12]
+    of = [of[i] for i in rng.permutation(len(of))]
+    data = [(i, int(v) % 2, [float(x) for x in base[v]]) for i, v in enumerate(of)]
+    spark.createDataFrame(data, "vec_id bigint, label int, embedding array<float>").coalesce(1).write.parquet(f"{tmp_path}/t")
+    os.rename(glob.glob(f"{tmp_path}/t/*.parquet")[0], f"{tmp_path}/embeddings.parquet")
+    monkeypatch.setattr("tests.test_queries.DATA", str(tmp_path))
+    check(spark, name, core_queries.queries()[name], core_queries.oracle_sql()[name])

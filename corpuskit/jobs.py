@@ -74,7 +74,8 @@ class Dedup:
     """Manifest and picture bytes to hashed index, edges, components and clean index.
 
     decoder: ``module:function`` from bytes to an RGB array for files that are neither PNG nor decoded
-    by the JVM, such as WebP. The report counts the files left unread by their ending.
+    by the JVM, such as WebP. The report counts the files left unread by their ending. every_pair: near
+    duplicates need share no band of their hash; without it the reference's bands decide.
     """
 
     manifest: str
@@ -94,6 +95,7 @@ class Dedup:
     pair_family: str | None = None
     prompt_family: str | None = None
     decoder: str | None = None
+    every_pair: bool = True
 
     def run(self, spark: SparkSession) -> dict:
         manifest = load_yaml(self.manifest)
@@ -108,7 +110,7 @@ class Dedup:
                 contents = part if contents is None else contents.unionByName(part)
         index = materialize(index.join(contents, "path", "left"))
         index.write.mode("overwrite").parquet(f"{self.out_dir}/scan_index")
-        near, members = D.near_edges(index, "row_idx", self.phash_bits, self.dhash_bits, self.max_difference, self.aspect, self.cross_label, self.report_bits, self.band_bits, self.max_bucket)
+        near, members = D.near_edges(index, "row_idx", self.phash_bits, self.dhash_bits, self.max_difference, self.aspect, self.cross_label, self.report_bits, self.band_bits, self.max_bucket, every=self.every_pair)
         edges = D.exact_edges(index, "row_idx", {"raw_sha1": "exact_bytes", "pixel_sha1": "exact_pixels"}).unionByName(near).unionByName(D.member_edges(members)).unionByName(D.pair_lock_edges(index, "row_idx"))
         if self.prompt_family:
             edges = edges.unionByName(D.prompt_lock_edges(index, "row_idx", self.prompt_family, self.lock_size))

@@ -89,6 +89,27 @@ def _refined_candidates(classes: DataFrame, band_bits: int, max_bucket: int, pha
     return keyed.withColumnRenamed("rep", "a").join(keyed.withColumnRenamed("rep", "b"), on).filter("a < b").select("a", "b").distinct()
 
 
+def _exact_candidates(classes: DataFrame, phash_bits: int, dhash_bits: int) -> DataFrame:
+    """(a, b), a < b: all pairs within phash_bits or dhash_bits, and others.
+
+    Of bits // 2 + 1 stretches of a hash, at least two, one differs in a bit at most, so each
+    stretch meets those of its value with no bit or one bit turned.
+    """
+    exact, turned = [], []
+    for c, bits in (("ph", phash_bits), ("dh", dhash_bits)):
+        n = max(2, bits // 2 + 1)
+        cuts = [round(i * 64 / n) for i in range(n + 1)]
+        for i in range(n):
+            width = cuts[i + 1] - cuts[i]
+            part = F.shiftrightunsigned(F.col(c), cuts[i]).bitwiseAND(F.lit((1 << width) - 1))
+            of = lambda p: F.struct(F.lit(f"{c}{i}").alias("t"), p.alias("p"))  # noqa: B023, E731
+            exact.append(of(part))
+            turned += [of(part)] + [of(part.bitwiseXOR(F.lit(1 << k))) for k in range(width)]
+    left = classes.select(F.col("rep").alias("a"), F.explode(F.array(*turned)).alias("x")).select("a", "x.*").filter("p IS NOT NULL")
+    right = classes.select(F.col("rep").alias("b"), F.explode(F.array(*exact)).alias("x")).select("b", "x.*").filter("p IS NOT NULL")
+    return left.join(right, ["t", "p"]).filter("a < b").select("a", "b").distinct()
+
+
 def near_edges(
     df: DataFrame,
     row_id: str = "row_idx",
@@ -101,6 +122,7 @@ def near_edges(
     band_bits: int = 16,
     max_bucket: int = 256,
     whole: bool = True,
+    every: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(edges, members) of near-duplicate pictures.
 
@@ -109,6 +131,7 @@ def near_edges(
     of phash64 and lie within the limits: same label near_hash, another label near_hash_cross_label if
     ``cross_label``, else suspicious_cross_label_near within ``report_bits``. Bands of more than
     ``max_bucket`` classes are blocked a second time, losing nothing, or left out if not ``whole``.
+    With ``every`` pairs within the limits need share no band: bands and buckets play no part.
     """
     ok = df.filter((F.col("read_ok") == 1) & hash_to_long("phash64").isNotNull())
     facts = ["phash64", "dhash64", "thumb8_hex", "width", "height", "label"]
@@ -116,9 +139,10 @@ def near_edges(
     classes = materialize(ok.groupBy(*facts).agg(F.min("id").alias("rep")))
     members = lookup_join(ok, classes, facts).select(F.col("id").alias(row_id), "rep")
     c = materialize(classes.select("rep", "label", hash_to_long("phash64").alias("ph"), hash_to_long("dhash64").alias("dh"), thumb_bytes("thumb8_hex").alias("thumb"), log_aspect("width", "height").alias("la")))
-    pairs = lsh_candidates(c, "rep", "ph", band_bits, max_bucket)
-    if whole:
-        pairs = pairs.unionByName(_refined_candidates(c, band_bits, max_bucket, max(phash_bits, report_bits), max(dhash_bits, report_bits - 2, 1))).distinct()
+    limits = max(phash_bits, report_bits), max(dhash_bits, report_bits - 2, 1)
+    pairs = _exact_candidates(c, *limits) if every else lsh_candidates(c, "rep", "ph", band_bits, max_bucket)
+    if whole and not every:
+        pairs = pairs.unionByName(_refined_candidates(c, band_bits, max_bucket, *limits)).distinct()
     a, b = (c.select(*[F.col(x).alias(f"{s}_{x}") for x in c.columns]) for s in "ab")
     j = pairs.join(a, F.col("a") == F.col("a_rep")).join(b, F.col("b") == F.col("b_rep")).filter(F.abs(F.col("a_la") - F.col("b_la")) <= aspect)
     ph, dh = hamming(F.col("a_ph"), F.col("b_ph")), hamming(F.col("a_dh"), F.col("b_dh"))

@@ -121,3 +121,21 @@ def test_dedup_of_every_format(spark, tmp_path):
     spark.sparkContext.addPyFile(str(tmp_path / "own_webp.py"))
     report = build("dedup", {"manifest": str(manifest), "out_dir": f"{tmp_path}/own", "decoder": "own_webp:read"}).run(spark)
     assert report["summary"]["unread_by_ending"] == {"jpg": 1}
+
+
+def test_dedup_links_pictures_of_no_common_band(spark, tmp_path, monkeypatch):
+    d = tmp_path / "pool" / "real_a"
+    d.mkdir(parents=True)
+    hashes = {"a.png": ("0" * 16, "0" * 16), "b.png": ("0001" * 4, "f" * 16), "c.png": ("fff0" * 4, "f" * 15 + "0")}
+    for name in hashes:
+        (d / name).write_bytes(name.encode())
+
+    def hash_files(paths, root, decode=None):
+        facts = [(str(d / n), n, 1, 10, 10, n, "", dh, ph, "00" * 64, "") for n, (ph, dh) in hashes.items()]
+        return spark.createDataFrame(facts, "path string, raw_sha1 string, read_ok int, width int, height int, pixel_sha1 string, ahash64 string, dhash64 string, phash64 string, thumb8_hex string, error string")
+
+    monkeypatch.setattr("corpuskit.jobs.hash_files", hash_files)
+    manifest = tmp_path / "m.yaml"
+    manifest.write_text(yaml.safe_dump({"sources": [{"path": str(d), "label": 0, "name": "real_a"}]}))
+    report = build("dedup", {"manifest": str(manifest), "out_dir": f"{tmp_path}/out"}).run(spark)
+    assert report["edges"] == {"dedup::near_hash": 2} and report["summary"]["clean_rows"] == 1

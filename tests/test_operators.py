@@ -192,6 +192,25 @@ def test_near_edges(spark, bits, bucket, whole):
     assert {(r["src_idx"], r["dst_idx"], r["reason"]) for r in edges.collect()} == want and want
 
 
+def test_every_near_pair(spark):
+    data, df = near_input(spark)
+    edges, members = D.near_edges(df, every=True)
+    ok = {r[0]: r for r in data if r[1] == 1 and r[2]}
+    reps = sorted({r["rep"] for r in members.collect()})
+    want = set()
+    for x in reps:
+        for y in reps:
+            a, b = ok[x], ok[y]
+            if x >= y or abs(math.log(a[5] / a[6]) - math.log(b[5] / b[6])) > 0.12:
+                continue
+            ph, dh = (int(a[2], 16) ^ int(b[2], 16)).bit_count(), (int(a[3], 16) ^ int(b[3], 16)).bit_count()
+            if sum(abs(p - q) for p, q in zip(bytes.fromhex(a[4]), bytes.fromhex(b[4]))) / 64 <= 6.0 and ((ph <= 8 or dh <= 6) if a[7] == b[7] else (ph <= 4 or dh <= 2)):
+                want.add((x, y))
+    got = [(r["src_idx"], r["dst_idx"]) for r in edges.collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert D.near_edges(df)[0].count() < len(want)
+
+
 def test_apply_edges(spark):
     data = [(0, "/a", 0, "unseen", 1, 1, 1, 1), (1, "/b", 0, "seen", 9, 9, 9, 1), (2, "/c", 0, None, 5, 5, 5, 0), (3, "/d", 1, "", 5, 5, 5, 1), (4, "/e", 0, "seen", 5, 5, 5, 1), (5, "/f", 1, "seen", None, None, None, None)]
     df = spark.createDataFrame(data, "row_idx bigint, path string, label int, split_hint string, width int, height int, file_size_bytes bigint, read_ok int")

@@ -20,12 +20,18 @@ def _local_bounds(groups: list[str], order: list[tuple[str, bool]], n: int, most
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute
 
         kept = None
 
         def cut(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
-            keys = [(g, "ascending") for g in groups] + [(c, "descending" if d else "ascending") for c, d in order]
-            table = table.sort_by(keys).combine_chunks()
+            keys, plain = [(g, "ascending") for g in groups], table.column_names
+            for c, d in order:
+                if d and pa.types.is_floating(table.schema.field(c).type):  # Arrow puts NaN last in either direction, Spark above all numbers
+                    table = table.append_column(f"{c}_nan", pa.compute.is_nan(table.column(c)))
+                    keys.append((f"{c}_nan", "descending"))
+                keys.append((c, "descending" if d else "ascending"))
+            table = table.sort_by(keys).select(plain).combine_chunks()
             ids = np.zeros(table.num_rows, dtype=bool)
             for g in groups:
                 col = table.column(g)
@@ -65,7 +71,7 @@ def top_n_per_group(
 ) -> DataFrame:
     """The first n rows of each group in ``order`` ((column, descending) ...), with their rank.
 
-    Nulls come last in either direction; null groups form a group; repeated rows count one
+    Nulls come last in either direction, NaN is above all numbers; null groups form a group; repeated rows count one
     by one; a group with fewer rows comes out whole; n <= 0 or an empty table gives no rows.
     Ties are broken by the later order columns: end the order with a unique one. All other
     columns pass through; an existing column named like ``rank`` is replaced.

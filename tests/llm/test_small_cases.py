@@ -38,6 +38,14 @@ def test_top_n_ties_and_nulls(spark, most):
     assert out.columns == ["g", "h", "score", "path", "id", "rank"] and dict(out.dtypes)["rank"] == "int"
 
 
+@pytest.mark.parametrize("descending,want", [(True, [3, 4, 5, 2, 1]), (False, [0, 1, 2, 3, 4])])
+def test_top_n_of_nan(spark, descending, want):
+    scores = [0.0, 1.0, 2.0, float("nan"), float("nan"), float("nan"), None]
+    df = spark.createDataFrame([("a", "h", x, "p", i, "") for i, x in enumerate(scores)], TOP).coalesce(1)
+    out = top_n_per_group(df, ["g"], [("score", descending), ("id", False)], 5)
+    assert [r["id"] for r in out.orderBy("rank").collect()] == want
+
+
 def test_top_n_empty_and_repeats(spark):
     empty = spark.createDataFrame([], TOP)
     assert top_n_per_group(empty, ["g"], [("score", True)], 3).count() == 0

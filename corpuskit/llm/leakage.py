@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .plaintext import letters
+from .plaintext import letters, numbered_letters
 
 #: Characters of a fingerprint (a power of two) and evaluation items matched in one pass.
 SEED_CHARS = 16
@@ -74,6 +74,14 @@ def tiles(doc: str, at: list[int], item: str, starts: list[int], pos: list[int])
     return out
 
 
+def joins_entries(tile: tuple[int, int, int], starts: list[int], entries: list[tuple[int, int]]) -> bool:
+    """Whether a tile crosses the start of a list entry but holds no whole entry: the end of one
+    and the beginning of the next may be neighbours by chance."""
+    first, n, d = tile
+    end = d + starts[first + n] - starts[first]
+    return any(d < a < end for a, _ in entries) and not any(d <= a < b <= end for a, b in entries)
+
+
 def seeds_needed(starts: list[int], min_words: int, chars: int) -> int:
     """Seeds that any ``min_words`` consecutive words of an item hold at least (0: not even one)."""
     words = len(starts) - 1
@@ -161,7 +169,8 @@ def leaked_passages(
 
     Null and empty texts match nothing; whole texts are searched, however long; items
     shorter than ``min_words`` words must be held whole; repeated documents each come out,
-    repeated item ids are matched as separate texts and merged by the best. Items are taken in
+    repeated item ids are matched as separate texts and merged by the best. Numbered lists are also
+    read without numbers that rise one by one, where a run holds a whole entry. Items are taken in
     blocks of BLOCK_ITEMS (fixed size, so each broadcast is bounded), documents are never moved.
     """
     spark = docs.sparkSession
@@ -187,15 +196,19 @@ def leaked_passages(
                 rows = []
                 for doc, t in zip(pdf["doc"].tolist(), pdf["text"].tolist()):
                     best: dict[int, tuple] = {}
-                    for k, tl in match(letters(t)).items():
-                        item, words = listed[k][0], len(listed[k][2]) - 1
-                        kept = [n for _, n, _ in tl if n >= tile_words or n == words]
-                        if not kept:
-                            continue
-                        longest, covered = max(kept), sum(kept)
-                        if longest >= min(min_words, words) or covered >= min_coverage * words:
-                            row = (longest, covered, words, len(kept))
-                            best[item] = max(best.get(item, row), row)
+                    listing = numbered_letters(t)
+                    for plain, entries in ((letters(t), None), *([listing] if listing else [])):
+                        for k, tl in match(plain).items():
+                            item, words = listed[k][0], len(listed[k][2]) - 1
+                            if entries is not None:
+                                tl = [x for x in tl if not joins_entries(x, listed[k][2], entries)]
+                            kept = [n for _, n, _ in tl if n >= tile_words or n == words]
+                            if not kept:
+                                continue
+                            longest, covered = max(kept), sum(kept)
+                            if longest >= min(min_words, words) or covered >= min_coverage * words:
+                                row = (longest, covered, words, len(kept))
+                                best[item] = max(best.get(item, row), row)
                     rows += [(item, doc, *row) for item, row in best.items()]
                 yield pd.DataFrame(rows, columns=["item", "doc", "longest", "covered", "words", "tiles"]).astype({"item": "int64", "doc": "int64", "longest": "int32", "covered": "int32", "words": "int32", "tiles": "int32"})
 

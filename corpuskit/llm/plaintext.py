@@ -28,3 +28,29 @@ def letters(text: str) -> str:
         text = text.translate({ord(k): v for k, v in LOOKALIKES.items()})
     return re.sub(r"[\W_]+", "", text).casefold()
 
+
+
+def numbered_letters(text: str) -> tuple[str, list[tuple[int, int]]] | None:
+    """Letters without the numbers of list items that rise one by one, and where each such
+    item starts and ends in them (the last of a list with its line); None if there are none."""
+    import re
+
+    found = list(re.finditer(r"(?m)^[ \t>*-]*(\d{1,3})[.)][ \t]+", text))
+    values = [int(m[1]) for m in found]
+    rising = [k > 0 and values[k - 1] + 1 == v for k, v in enumerate(values)]
+    starts = [m for k, m in enumerate(found) if rising[k] or rising[k + 1 : k + 2] == [True]]
+    if not starts:
+        return None
+    after = {m.start(): n for m, n, r in zip(found, found[1:], rising[1:]) if r}
+    cuts = set()
+    for m in starts:
+        n, line = after.get(m.start()), text.find("\n", m.end())
+        cuts.add((m.start(), m.end(), n.start() if n else line if line >= 0 else len(text)))
+    parts, size, at, entries = [], 0, 0, []
+    for start, end, stop in sorted(cuts):
+        for piece in (text[at:start], text[end:stop]):
+            parts.append(letters(piece))
+            size += len(parts[-1])
+        entries.append((size - len(parts[-1]), size))
+        at = stop
+    return "".join(parts) + letters(text[at:]), entries

@@ -102,6 +102,21 @@ def test_letters():
     assert letters("1. first\n> 2) second") == "1first2second"
 
 
+def test_leaks_in_numbered_lists(spark):
+    w = ITEM.split()
+    lines = [" ".join(w[i : i + 3]) for i in range(0, len(w), 3)]
+    data = [
+        (1, "\n".join(f"{i}. {x}" for i, x in enumerate(lines, 4))),
+        (2, "intro\n" + "\n".join(f"> {i}) {x}" for i, x in enumerate(lines[:4], 1)) + "\nmore"),
+        (3, "\n".join(f"{i % 2}. {x}" for i, x in enumerate(lines[::-1]))),
+        (4, "1. noise and " + " ".join(w[:6]) + "\n2. " + " ".join(w[6:12]) + " goes on"),
+    ]
+    docs = spark.createDataFrame(data, "d bigint, t string")
+    items = spark.createDataFrame([(7, ITEM)], "i bigint, x string")
+    got = {r["d"]: (r["longest"], r["words"]) for r in leaked_passages(docs, "d", "t", items, "i", "x").collect()}
+    assert got == {1: (len(w), len(w)), 2: (12, len(w))}
+
+
 def test_leaks_in_disguise(spark):
     w = ITEM.split()
     spoof = ITEM.replace("o", "о").replace("e", "е").replace(" ", " ")

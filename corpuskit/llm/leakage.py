@@ -3,23 +3,25 @@
 Every text is reduced to its letters, so neither case, punctuation, accents, layout, markup,
 hyphenation nor lookalike characters matter; words of an item are stretches of its letters.
 Running Karp-Rabin fingerprints of the document (one vectorised pass) are joined with
-the fingerprints at the items' word starts. From these seeds the longest match is marked again
-and again, matches never overlapping in the item; the longest tile tells an exact run of words,
-the share of words marked tells passages that were cut and reordered.
+the fingerprints of the items' stretches of a few words. Where an item has as many of these seeds as a leak must
+have, the longest match is marked again and again, matches never overlapping in the item; the longest tile tells
+an exact run of words, the share of words marked tells passages that were cut and reordered.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.common import materialize
 from .plaintext import letters, numbered_letters
 
-#: Characters of a fingerprint (a power of two) and evaluation items matched in one pass.
+#: Most characters of a fingerprint (a power of two), and characters of the items matched in one pass.
 SEED_CHARS = 16
-BLOCK_ITEMS = 20_000
+BLOCK_CHARS = 64 << 20
 
 
 def _item(text: str) -> tuple[str, list[int]]:
@@ -82,76 +84,136 @@ def joins_entries(tile: tuple[int, int, int], starts: list[int], entries: list[t
     return any(d < a < end for a, _ in entries) and not any(d <= a < b <= end for a, b in entries)
 
 
-def seeds_needed(starts: list[int], min_words: int, chars: int) -> int:
-    """Seeds that any ``min_words`` consecutive words of an item hold at least (0: not even one)."""
-    words = len(starts) - 1
-    n = min(min_words, words)
-    held = [sum(s + chars <= starts[k + n] for s in starts[k : k + n]) for k in range(words - n + 1)]
-    return min(held, default=0)
+def seeds_needed(words: int, min_words: int, min_coverage: float, gram: int) -> int:
+    """Seeds without which an item of ``words`` words can't be reported. A tile of n words holds the
+    n - gram + 1 grams that start in it, so ``min_words`` words hold min_words - gram + 1, and tiles of
+    gram words or more that cover a share of the item hold at least one for every gram words covered."""
+    return max(1, min(min(min_words, words) - gram + 1, math.ceil(min_coverage * words / gram - 1e-9)))
 
 
-def _matcher(items: list[tuple[int, str, list[int]]], chars: int, min_words: int):
+def _matcher(items: list[tuple[int, str, list[int]]], min_words: int, min_coverage: float, tile_words: int):
     import numpy as np
 
     base = 1_000_003
 
-    def prints(codes: np.ndarray) -> np.ndarray:
+    def prints(codes: np.ndarray) -> dict[int, np.ndarray]:
+        """Fingerprints of every stretch of 1, 2, 4 ... SEED_CHARS characters."""
         h, size = codes.astype(np.uint64) + np.uint64(1), 1
+        out = {1: h}
         with np.errstate(over="ignore"):
-            while size < chars:
-                if len(h) <= size:
-                    return h[:0]
+            while size < SEED_CHARS and len(h) > size:
                 h = h[:-size] * np.uint64(pow(base, size, 1 << 64)) + h[size:]
                 size *= 2
-        return h
+                out[size] = h
+        return out
 
     code = lambda t: np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32)
-    keys, owners, places = [], [], []
-    # fewer seeds than this cannot make a leak; items of very few letters are looked up as they are
-    needed = [seeds_needed(starts, min_words, chars) for _, _, starts in items]
-    least = [max(1, min(n, 4, len(starts) // 8)) for n, (_, _, starts) in zip(needed, items)]
-    bare = [k for k, n in enumerate(needed) if n == 0]
+    found: dict[int, list] = {}
+    # what an item needs: seeds in all, seeds on one diagonal or words under seeds, words of a seed
+    least, in_line, under, wide = (np.zeros(len(items), dtype=np.int64) for _ in range(4))
     for k, (_, text, starts) in enumerate(items):
-        h = prints(code(text))
-        p = np.array([s for s in starts[:-1] if s < len(h)], dtype=np.int64)
-        keys.append(h[p])
-        owners.append(np.full(len(p), k))
-        places.append(p)
-    keys, owners, places = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, owners, places))
-    order = np.argsort(keys, kind="stable")
-    keys, owners, places = keys[order].astype(np.uint64), owners[order], places[order]
-    filled = np.zeros(1 << 22, dtype=bool)
-    filled[(keys >> np.uint64(42)).astype(np.int64)] = True
-
-    def match(text: str) -> dict[int, list[tuple[int, int, int]]]:
-        """Tiles of every item that the document's letters hold a seed of."""
-        h = prints(code(text))
-        at = np.flatnonzero(filled[(h >> np.uint64(42)).astype(np.int64)])
-        lo, hi = np.searchsorted(keys, h[at], "left"), np.searchsorted(keys, h[at], "right")
-        n = hi - lo
-        d = np.repeat(at, n)
-        slot = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        seeds: dict[int, tuple[list[int], list[int]]] = {}
-        for x, k, p in zip(d.tolist(), owners[slot].tolist(), places[slot].tolist()):
-            own = seeds.setdefault(k, ([], []))
-            own[0].append(x)
-            own[1].append(p)
+        words = len(starts) - 1
+        gram = min(tile_words, words)
+        least[k] = seeds_needed(words, min_words, min_coverage, gram)
+        in_line[k], under[k], wide[k] = min(min_words, words) - gram + 1, math.ceil(min_coverage * words - 1e-9), gram
+        own, at = prints(code(text)), np.asarray(starts, dtype=np.int64)
+        # the seed of a gram is its longest beginning of 1, 2, 4 ... SEED_CHARS characters
+        size = np.minimum(2 ** np.floor(np.log2(at[gram:] - at[: words - gram + 1])).astype(np.int64), SEED_CHARS)
+        for n in np.unique(size).tolist():
+            i = np.flatnonzero(size == n)
+            found.setdefault(n, []).append((own[n][at[i]], np.full(len(i), k), i, at[i]))
+    tables = []
+    for n, parts in found.items():
+        keys, *rest = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(keys, kind="stable")
+        keys, rest = keys[order], [x[order] for x in rest]
+        shift = np.uint64(64 - min(26, max(12, (64 * len(keys)).bit_length())))
+        filled = np.zeros(1 << (64 - int(shift)), dtype=bool)
+        mixed = lambda h, shift=shift: (h * np.uint64(0x9E3779B97F4A7C15)) >> shift
+        filled[mixed(keys).astype(np.int64)] = True
+        tables.append((n, keys, rest, filled, mixed))
+
+    def match(texts: list[str]) -> dict[tuple[int, int], list[tuple[int, int, int]]]:
+        """Tiles of every (text, item) where the text's letters hold enough seeds of the item."""
+        buffer = code("\n".join(texts))
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        own, hits = prints(buffer), []
+        for n, keys, rest, filled, mixed in tables:
+            if n not in own:
+                continue
+            h = own[n]
+            at = np.flatnonzero(filled[mixed(h).astype(np.int64)])
+            lo = np.searchsorted(keys, h[at], "left")
+            known = keys[np.minimum(lo, len(keys) - 1)] == h[at]
+            at, lo = at[known], lo[known]
+            many = np.searchsorted(keys, h[at], "right") - lo
+            slot = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            hits.append((np.repeat(at, many), *(x[slot] for x in rest)))
+        if not hits or not sum(len(x[0]) for x in hits):
+            return {}
+        d, k, i, p = (np.concatenate(x) for x in zip(*hits))
+        of = np.searchsorted(ends, d, "right")
+        pair = of * len(items) + k
+        _, inverse, count = np.unique(pair, return_inverse=True, return_counts=True)
+        enough = count[inverse] >= least[k]
+        d, k, i, p, of, pair = (x[enough] for x in (d, k, i, p, of, pair))
+        if not len(d):
+            return {}
+
+        def reached(value: np.ndarray, owner: np.ndarray, need: np.ndarray, apart: bool) -> set[int]:
+            """Pairs with ``need`` equal values (apart: different ones)."""
+            order = np.lexsort((value, owner))
+            value, owner = value[order], owner[order]
+            new = np.r_[True, (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])]
+            if apart:
+                found, n = np.unique(owner[new], return_counts=True)
+            else:
+                found, n = owner[new], np.diff(np.append(np.flatnonzero(new), len(value)))
+            return set(found[n >= need[found % len(items)]].tolist())
+
+        some = reached(d - p, pair, in_line, False)
+        spans = [(o < wide[k]) for o in range(int(wide[k].max()))]
+        some |= reached(np.concatenate([i[ok] + o for o, ok in enumerate(spans)]), np.concatenate([pair[ok] for ok in spans]), under, True)
         out = {}
-        for k, (a, p) in seeds.items():
-            if len(a) >= least[k]:
-                out[k] = tiles(text, a, items[k][1], items[k][2], p)
-        for k in bare:
-            _, item, starts = items[k]
-            n = min(min_words, len(starts) - 1)
-            for first in range(len(starts) - n):
-                at = text.find(item[starts[first] : starts[first + n]])
-                if at >= 0:
-                    out[k] = max(out.get(k, []), [(first, n, at)], key=lambda t: sum(x[1] for x in t))
+        if some:
+            order = np.argsort(pair, kind="stable")
+            pair, d, p = pair[order], d[order], p[order]
+            for x in sorted(some):
+                t, item = divmod(x, len(items))
+                mine = slice(*np.searchsorted(pair, [x, x + 1]))
+                start = int(ends[t]) - len(texts[t]) - 1
+                out[t, item] = tiles(texts[t], (d[mine] - start).tolist(), items[item][1], items[item][2], p[mine].tolist())
         return out
 
     return match
 
 
+def _buffers(pdf, chars: int = 1 << 20) -> Iterator[list[tuple]]:
+    """(row, letters, list entries) of every reading, in groups of about ``chars`` letters."""
+    group, size = [], 0
+    for row, (plain, listing, entries) in enumerate(zip(pdf["plain"], pdf["listing"], pdf["entries"])):
+        for text, cuts in ((plain, None), (listing, entries)):
+            if text:
+                group.append((row, text, cuts))
+                size += len(text)
+        if size >= chars:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _readings(batches: Iterator) -> Iterator:
+    """doc, the letters of each text, and those without the numbers of a list, with its entries."""
+    import pandas as pd
+
+    for pdf in batches:
+        rows = []
+        for doc, t in zip(pdf["doc"].tolist(), pdf["text"].tolist()):
+            rows.append((doc, letters(t), *(numbered_letters(t) or (None, None))))
+        yield pd.DataFrame(rows, columns=["doc", "plain", "listing", "entries"])
+
+
 def leaked_passages(
     docs: DataFrame,
     doc_id: str,
@@ -170,48 +232,51 @@ def leaked_passages(
     Null and empty texts match nothing; whole texts are searched, however long; items
     shorter than ``min_words`` words must be held whole; repeated documents each come out,
     repeated item ids are matched as separate texts and merged by the best. Numbered lists are also
-    read without numbers that rise one by one, where a run holds a whole entry. Items are taken in
-    blocks of BLOCK_ITEMS (fixed size, so each broadcast is bounded), documents are never moved.
+    read without numbers that rise one by one, where a run holds a whole entry. No seed is left out,
+    so nothing that fits is lost. Items are broadcast; beyond BLOCK_CHARS characters they are taken in
+    blocks of that size, and documents are reduced to letters once for all blocks. Documents are never moved.
     """
     spark = docs.sparkSession
-    names = (item_id, doc_id)
     schema = "item bigint, doc bigint, longest int, covered int, words int, tiles int"
-    total = items.count()
-    blocks = max(1, -(-total // BLOCK_ITEMS))
+    own = items.filter(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_id).cast("bigint").alias("item"), F.col(item_text).alias("text"))
+    total = own.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    blocks = max(1, -(-total // BLOCK_CHARS))
     narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).alias("text")).filter("doc IS NOT NULL AND text IS NOT NULL AND text <> ''")
+    narrow = narrow.mapInPandas(_readings, "doc bigint, plain string, listing string, entries array<array<bigint>>") if blocks > 1 else narrow
+    narrow = materialize(narrow) if blocks > 1 else narrow
     out = None
     for b in range(blocks):
-        own = items.filter(F.col(item_id).isNotNull() & F.col(item_text).isNotNull())
-        if blocks > 1:
-            own = own.filter(F.pmod(F.xxhash64(item_id), F.lit(blocks)) == b)
-        own = sorted((int(r[0]), r[1]) for r in own.select(item_id, item_text).collect())
-        shared = spark.sparkContext.broadcast([(i, *_item(t)) for i, t in own])
+        block = own.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b) if blocks > 1 else own
+        # the matcher is built once a worker and kept beside the items it was built from
+        shared = spark.sparkContext.broadcast({"items": sorted((r[0], *_item(r[1])) for r in block.collect())})
 
         def run(batches: Iterator, shared=shared) -> Iterator:
             import pandas as pd
 
-            listed = [x for x in shared.value if len(x[2]) > 1]
-            match = _matcher(listed, SEED_CHARS, min_words)
-            for pdf in batches:
-                rows = []
-                for doc, t in zip(pdf["doc"].tolist(), pdf["text"].tolist()):
-                    best: dict[int, tuple] = {}
-                    listing = numbered_letters(t)
-                    for plain, entries in ((letters(t), None), *([listing] if listing else [])):
-                        for k, tl in match(plain).items():
-                            item, words = listed[k][0], len(listed[k][2]) - 1
-                            if entries is not None:
-                                tl = [x for x in tl if not joins_entries(x, listed[k][2], entries)]
-                            kept = [n for _, n, _ in tl if n >= tile_words or n == words]
-                            if not kept:
-                                continue
-                            longest, covered = max(kept), sum(kept)
-                            if longest >= min(min_words, words) or covered >= min_coverage * words:
-                                row = (longest, covered, words, len(kept))
-                                best[item] = max(best.get(item, row), row)
-                    rows += [(item, doc, *row) for item, row in best.items()]
+            kept = shared.value
+            if "match" not in kept:
+                kept["listed"] = [x for x in kept["items"] if len(x[2]) > 1]
+                kept["match"] = _matcher(kept["listed"], min_words, min_coverage, tile_words)
+            listed, match = kept["listed"], kept["match"]
+            for pdf in batches if blocks > 1 else _readings(batches):
+                best: dict[tuple[int, int], tuple] = {}
+                for group in _buffers(pdf):
+                    for (t, k), tl in match([x[1] for x in group]).items():
+                        row, _, cuts = group[t]
+                        item, words = listed[k][0], len(listed[k][2]) - 1
+                        if cuts is not None:
+                            tl = [x for x in tl if not joins_entries(x, listed[k][2], cuts)]
+                        sizes = [n for _, n, _ in tl if n >= tile_words or n == words]
+                        if not sizes:
+                            continue
+                        longest, covered = max(sizes), sum(sizes)
+                        if longest >= min(min_words, words) or covered >= min_coverage * words:
+                            found = (longest, covered, words, len(sizes))
+                            best[row, item] = max(best.get((row, item), found), found)
+                ids = pdf["doc"].tolist()
+                rows = [(item, ids[row], *found) for (row, item), found in best.items()]
                 yield pd.DataFrame(rows, columns=["item", "doc", "longest", "covered", "words", "tiles"]).astype({"item": "int64", "doc": "int64", "longest": "int32", "covered": "int32", "words": "int32", "tiles": "int32"})
 
         part = narrow.mapInPandas(run, schema)
         out = part if out is None else out.unionByName(part)
-    return out.select(F.col("item").alias(names[0]), F.col("doc").alias(names[1]), "longest", "covered", "words", F.round(F.col("covered") / F.col("words"), 6).alias("coverage"), "tiles")
+    return out.select(F.col("item").alias(item_id), F.col("doc").alias(doc_id), "longest", "covered", "words", F.round(F.col("covered") / F.col("words"), 6).alias("coverage"), "tiles")

@@ -10,6 +10,10 @@ _PAIRS = (
 LOOKALIKES = dict(zip(_PAIRS[::2], _PAIRS[1::2]))
 
 
+#: ASCII characters that are neither letters nor digits.
+_MARKS = bytes(c for c in range(128) if not chr(c).isalnum())
+
+
 def letters(text: str) -> str:
     """Letters and digits only, without case, accents, lookalikes, tags and link targets.
     Entities are read as their characters; numbers of list items are words like any other."""
@@ -25,9 +29,13 @@ def letters(text: str) -> str:
         text = re.sub(r"\]\([^()\s]*\)", " ", text)
     if not text.isascii():
         text = unicodedata.normalize("NFKD", text).casefold()
-        text = text.translate({ord(k): v for k, v in LOOKALIKES.items()})
-    return re.sub(r"[\W_]+", "", text).casefold()
-
+        rare = {c for c in set(text) if c > "\x7f"}
+        alike = rare & LOOKALIKES.keys()
+        if alike:
+            text = text.translate({ord(c): LOOKALIKES[c] for c in alike})
+        if any(c.isalnum() for c in rare - alike):  # other scripts
+            return re.sub(r"[\W_]+", "", text).casefold()
+    return text.encode("ascii", "ignore").translate(None, _MARKS).lower().decode("ascii")
 
 
 def numbered_letters(text: str) -> tuple[str, list[tuple[int, int]]] | None:

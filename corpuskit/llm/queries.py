@@ -203,6 +203,19 @@ def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _p9(spark, sf_dir)
 
 
+_PLAIN = r"""regexp_replace(translate(replace(strip_accents(lower(regexp_replace(regexp_replace(replace(replace({0}, '&nbsp;', ' '), '&#39;', chr(39)),
+    '<[/!]?[a-zA-Z][^<>]*>', '', 'g'), '\]\([^()\s]*\)', ' ', 'g'))), 'ß', 'ss'), 'аеорс', 'aeopc'), '[^\p{{L}}\p{{N}}]+', '', 'g')"""
+_P9 = rf"""WITH w AS (SELECT item_id, i, {_PLAIN.format("word")} AS word FROM (SELECT item_id, unnest(parts) AS word, generate_subscripts(parts, 1) AS i
+  FROM (SELECT item_id, regexp_split_to_array(text, '\s+') AS parts FROM eval_item))),
+n AS (SELECT item_id, list(word ORDER BY i) AS words FROM w WHERE word <> '' GROUP BY 1),
+runs AS (SELECT DISTINCT item_id, run, run[:16] AS seed FROM (
+  SELECT item_id, array_to_string(words[s : s + 11], '') AS run FROM (SELECT *, unnest(range(1, greatest(len(words) - 11, 1) + 1)) AS s FROM n))),
+d AS (SELECT doc_id, {_PLAIN.format("text")} AS t FROM documents WHERE text IS NOT NULL),
+g AS (SELECT doc_id, t, unnest(range(1, length(t) - 14)) AS i FROM d),
+c AS (SELECT DISTINCT g.doc_id, r.item_id, r.run FROM g JOIN runs r ON g.t[i : i + 15] = r.seed)
+SELECT DISTINCT item_id, doc_id FROM c JOIN d USING (doc_id) WHERE contains(t, run)"""
+
+
 def _p10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(_read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return spam_pages(docs, "doc_id", "text", "source")
@@ -261,4 +274,5 @@ def oracle_sql() -> dict[str, str]:
         "p6_found": _P6,
         "p6_overlap_report": _P6_REPORT,
         "p7_found": _P7,
+        "p9_found": _P9,
     }

@@ -9,7 +9,7 @@ from corpuskit.llm.leakage import _item, tiles
 from corpuskit.llm.packing import best_fit_decreasing, lower_bound
 from corpuskit.llm.plaintext import letters
 from corpuskit.llm.quotas import rake, whole_quotas
-from corpuskit.llm.spam import STOPWORDS, page_features
+from corpuskit.llm.spam import EVIDENCE, STOPWORDS, page_reader
 from corpuskit.llm.survivor import consensus
 
 
@@ -78,9 +78,9 @@ def test_consensus_is_an_existing_value(values):
 
 
 @given(st.text(max_size=300))
-def test_features_are_shares(text):
-    f = page_features(text, frozenset(STOPWORDS))
-    assert len(f) == 12 and all(x >= 0 for x in f) and all(f[k] <= 1 for k in (2, 3, 4, 5, 6, 8, 9))
+def test_page_views_are_shares(text):
+    f = dict(zip(EVIDENCE, page_reader(STOPWORDS)(text)))
+    assert all(x >= 0 for x in f.values()) and all(f[k] <= f["size"] for k in ("linked", "listed", "prose", "echo", "again"))
 
 
 @given(st.text(max_size=80))

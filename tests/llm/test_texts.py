@@ -6,10 +6,11 @@ import random
 import numpy as np
 import pytest
 
-from corpuskit.llm.leakage import _item, leaked_passages, tiles
+from corpuskit.llm import leakage as L
+from corpuskit.llm.leakage import _item, _matcher, leaked_passages, tiles
 from corpuskit.llm.packing import VOCABULARY, best_fit_decreasing, lower_bound, pack_documents, packing_report, token_counts
 from corpuskit.llm.plaintext import letters
-from corpuskit.llm.spam import STOPWORDS, page_features, spam_pages
+from corpuskit.llm.spam import EVIDENCE, FEATURES, STOPWORDS, page_reader, spam_pages, weak_label, with_views
 
 SPECS = [("s", 10), ("m", 64), ("zero", 0), (None, 5)]
 
@@ -180,20 +181,77 @@ HONEST = [
 ]
 
 
-def test_page_features_and_spam(spark):
-    stop = frozenset(STOPWORDS)
-    assert all(page_features(t, stop)[1] >= 0.6 for t in SPAM)
-    assert all(page_features(t, stop)[1] <= 0.35 for t in HONEST)
-    assert page_features("", stop)[0] == 0.0 and page_features("lamp " * 200_000, stop)[1] == 1.0
+def test_labels_and_spam(spark):
     data = [(i * 100 + k, t, f"site_{i % 3}" if k % 2 else None, "x") for k in range(12) for i, t in enumerate(SPAM + HONEST)]
     data += [(5000, None, "site_1", "x"), (None, SPAM[0], "site_1", "x"), (5001, "", "", "x"), (5002, "?", " ", "x")]
     docs = spark.createDataFrame(data, "doc bigint, body string, host string, spam string")
+    labels = {r["page"]: r["label"] for r in with_views(docs, "doc", "body", "host").withColumn("label", weak_label()).collect()}
+    assert all(labels[i * 100] in (1.0 if i < len(SPAM) else 0.0, None) for i in range(len(SPAM + HONEST)))
+    assert sum(labels[i * 100] is not None for i in range(len(SPAM + HONEST))) >= 11 and labels[5001] == 0.0
     out = spam_pages(docs, "doc", "body", "host").collect()
     assert {r["page"] for r in out if r["spam"]} == {i * 100 + k for k in range(12) for i in range(len(SPAM))}
     assert len(out) == 12 * 12 + 2
 
 
+def test_page_reader():
+    read = page_reader(STOPWORDS)
+    view = lambda t: dict(zip(EVIDENCE + FEATURES, read(t)))
+    assert not set(EVIDENCE) & set(FEATURES)
+    assert view("")["size"] == 0 and view("?!")["words"] == 0
+    long = view("lamp " * 200_000)
+    assert long["size"] == long["words"] == 200_000 and long["top"] == 1.0
+    links = view('<a href="http://x.test/1">lamp</a> [b](http://y.test) www.z.test #tag')
+    assert links["links"] == 3 and links["tags"] == 1 and links["hidden"] > 0.4
+    assert view("tripod head 64gb 12.99 new, tripod head 3,95")["prices"] == 2 and view("rate 12.9934 in 3.2 s")["prices"] == 0
+
+
+def test_host_rate_shifts_doubtful_pages(spark):
+    mixed = "lamp shade cheap. The lamp was kept. best lamp shade free download now"
+    data = [(i, SPAM[i % len(SPAM)] + f" w{i}", "bad") for i in range(60)] + [(100 + i, HONEST[i % len(HONEST)] + f" W{i}.", "good") for i in range(60)] + [(200, mixed, "bad"), (201, mixed, "good")]
+    docs = spark.createDataFrame(data, "doc bigint, body string, host string")
+    out = {r["page"]: r for r in spam_pages(docs, "doc", "body", "host").collect()}
+    assert out[200]["probability"] == out[201]["probability"] and out[200]["host_rate"] > out[201]["host_rate"] and out[200]["score"] > out[201]["score"]
+
+
 def test_spam_one_class_and_empty(spark):
     docs = spark.createDataFrame([(1, HONEST[0], "h"), (2, HONEST[2], None)], "doc bigint, body string, host string")
     assert not any(r["spam"] for r in spam_pages(docs, "doc", "body", "host").collect())
     assert spam_pages(docs.limit(0), "doc", "body", "host").count() == 0
+
+
+@pytest.mark.parametrize("words", [3, 5, 30, 60])
+def test_seeds_lose_no_leak(words):
+    rng = random.Random(words)
+    vocabulary = "a to it ox be of kettle brass the amber orchestra i on".split()
+    for _ in range(60):
+        item = " ".join(rng.choice(vocabulary) for _ in range(words))
+        w = item.split()
+        pieces = [" ".join(w[i : i + n]) for i in range(0, words, 4) for n in [rng.choice([2, 4, 5, 13])]]
+        rng.shuffle(pieces)
+        doc = letters(" zz ".join(pieces) + " " + " ".join(rng.choice(vocabulary) for _ in range(40)))
+        text, starts = _item(item)
+        got = _matcher([(1, text, starts)], 12, 0.5, 4)(["noise", doc, item]).get((1, 0), [])
+        seeds = [(d, p) for p in starts[:-1] for d in range(len(doc)) if doc[d] == text[p]]
+        every = tiles(doc, [d for d, _ in seeds], text, starts, [p for _, p in seeds])
+        report = lambda found: sorted(n for _, n, _ in found if n >= 4 or n == words)
+        a, b = report(got), report(every)
+        if max(b, default=0) >= min(12, words) or sum(b) >= 0.5 * words:
+            assert (max(a), sum(a)) == (max(b), sum(b))
+
+
+def test_reordered_passages_and_blocks(spark, monkeypatch):
+    rng = random.Random(5)
+    w = ITEM.split()
+    parts = [w[i : i + 6] for i in range(0, len(w), 6)]
+    data = []
+    for d in range(40):
+        rng.shuffle(parts)
+        take = parts[: 1 + d % len(parts)]
+        data.append((d, " - ".join(" ".join(x) + f" noise{d} filler" for x in take), sum(len(x) for x in take if len(x) >= 4) / len(w)))
+    docs = spark.createDataFrame(data, "d bigint, t string, s double")
+    items = spark.createDataFrame([(7, ITEM), (8, "quite another text of a dozen words and a few more to be long"), (7, "a short one")], "i bigint, x string")
+    want = {d for d, _, s in data if s >= 0.5}
+    for block in (1 << 26, 60):
+        monkeypatch.setattr(L, "BLOCK_CHARS", block)
+        out = {r["d"]: r for r in leaked_passages(docs, "d", "t", items, "i", "x").collect()}
+        assert set(out) == want and all(abs(out[d]["coverage"] - s) < 1e-6 for d, _, s in data if d in want)

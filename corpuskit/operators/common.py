@@ -11,16 +11,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: A side is broadcast only when it was written, counted, and has at most so many rows.
+#: A side is broadcast only when it was measured and has at most so many rows and bytes.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 #: A key held by more rows than this is never shuffled to one task.
 HOT_ROWS = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder in spark.checkpoint.dir. Where that is unset, a temporary one in local mode, all
+    of whose tasks share the machine; on a cluster, whose machines don't, an error."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         where = tempfile.mkdtemp(prefix="corpuskit-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -51,10 +55,19 @@ def release(*tables: DataFrame) -> None:
             p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def broadcast_if_small(table: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """table with a broadcast hint if its counted rows are within limit; else as it is."""
-    n = table.count() if rows is None else rows
-    return (F.broadcast(table), True) if n <= limit else (table, False)
+def measure(table: DataFrame) -> tuple[int, int]:
+    """(rows, about the bytes of their values)."""
+    width = F.lit(0).cast("bigint")
+    for c, kind in table.dtypes:
+        known = F.octet_length(F.col(f"`{c}`")) if kind in ("string", "binary") else F.length(F.to_json(F.struct(F.col(f"`{c}`")))) if kind[:3] in ("arr", "map", "str") else F.lit(8)
+        width = width + F.coalesce(known, F.lit(8))
+    found = table.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return found[0], found[1]
+
+
+def is_small(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+    rows, size = measure(table)
+    return rows <= limit and size <= BROADCAST_BYTES
 
 
 def _same(keys: Sequence[str]) -> Column:
@@ -75,24 +88,26 @@ def lookup_join(
 ) -> DataFrame:
     """Join left, which may hold hot keys, to a table with few rows a key.
 
-    Up to ``limit`` counted rows the table is broadcast. Beyond it the keys that left holds more
-    than ``hot`` times, of which there are at most rows / hot, are found by a partial aggregate: their
-    rows meet a broadcast of their part of the table where they are, and only all other rows are shuffled.
-    Null keys match null keys. how: inner, left, left_semi or left_anti.
+    The table is written, unless it is already, and measured: up to ``limit`` rows and BROADCAST_BYTES it is broadcast. Beyond
+    that the keys that left holds more than ``hot`` times are found by a partial aggregate: their
+    rows meet a broadcast of their part of the table, if that is small, where they are, and only all
+    other rows are shuffled. Null keys match null keys. how: inner, left, left_semi or left_anti.
     """
     on = list(on)
     right_cols = [c for c in table.columns if c not in on]
     names = [f"__k_{c}" for c in on]
+    if not hasattr(table, "_corpuskit_path"):
+        table = materialize(table)
     renamed = table.select(*renamed_columns(on), *right_cols)
-    if broadcast_if_small(table, limit=limit)[1]:
+    if is_small(table, limit):
         return left.join(F.broadcast(renamed), _same(on), how).drop(*names)
     many = left.groupBy(*on).agg(F.count("*").alias("__n")).filter(F.col("__n") > hot)
     many = materialize(many.select(*renamed_columns(on)))
-    if many.isEmpty():
+    if many.isEmpty() or not is_small(many):
         return left.join(renamed, _same(on), how).drop(*names)
     few = F.broadcast(many)
     part = materialize(table.join(few, _same(on), "left_semi").select(*renamed_columns(on), *right_cols))
-    if not broadcast_if_small(part, limit=max(limit, BROADCAST_ROWS))[1]:  # no lookup: hot on both sides
+    if not is_small(part, max(limit, BROADCAST_ROWS)):  # no lookup: hot on both sides
         return left.join(renamed, _same(on), how).drop(*names)
     stay = left.join(few, _same(on), "left_semi").join(F.broadcast(part), _same(on), how).drop(*names)
     move = left.join(few, _same(on), "left_anti").join(renamed, _same(on), how).drop(*names)
@@ -102,10 +117,13 @@ def lookup_join(
 def split_join(left: DataFrame, table: DataFrame, on: str, weight: str, hot: int) -> DataFrame:
     """Inner join of left to a written table that tells how often left holds each key (``weight``).
 
-    Keys held more than ``hot`` times, of which there are at most rows / hot, are broadcast and
-    never shuffled; all others meet in an ordinary join.
+    Keys held more than ``hot`` times are broadcast, if they are few, and never shuffled; all others meet
+    in an ordinary join.
     """
-    few = F.broadcast(table.filter(F.col(weight) > hot).drop(weight))
+    some = table.filter(F.col(weight) > hot).drop(weight)
+    if some.isEmpty() or not is_small(some):
+        return left.join(table.drop(weight), on)
+    few = F.broadcast(some)
     rest = left.join(few.select(on), on, "left_anti").join(table.filter(F.col(weight) <= hot).drop(weight), on)
     return left.join(few, on).unionByName(rest)
 
@@ -148,16 +166,10 @@ def ordering(order: Sequence[tuple[str, bool]]) -> list[Column]:
 
 
 def ranked(df: DataFrame, keys: Sequence[str], order: str, rank: str = "rank", ties: Sequence[str] = (), per_bucket: int = 50_000) -> DataFrame:
-    """Exact 1-based rank of ``order`` (a BIGINT spread evenly over its range, such as a
-    hash; then of ``ties``) within keys, without gathering a key: counts of ranges give
-    offsets and only a range is ranked in one task."""
-    n = df.count()
-    bits = max(0, (max(1, n // per_bucket)).bit_length())
-    b = F.shiftright(F.col(order), 64 - bits) if bits else F.lit(0).cast("bigint")
-    df = df.withColumn("__b", b)
-    counts = df.groupBy(*keys, "__b").agg(F.count("*").alias("__n"))
-    w = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(counts.select(*keys, "__b", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off")))
-    out = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys, "__b").orderBy(order, *ties)))
-    out = lookup_join(out, offsets, [*keys, "__b"])
-    return out.withColumn(rank, (F.col(rank) + F.col("__off")).cast("bigint")).drop("__b", "__off")
+    """Exact 1-based rank of ``order`` (a number; then of ``ties``) within keys, without
+    gathering a key: counts of ranges of about ``per_bucket`` rows give offsets, and only a range is ranked in one task."""
+    from .ranking import running_sums, value_buckets
+
+    ranged, b = value_buckets(df.withColumn("__d", F.col(order).cast("double")), "__d", per_bucket=per_bucket)
+    out = running_sums(ranged, keys, F.col(b), [F.col(c) for c in (order, *ties)], {rank: F.lit(1).cast("bigint")})
+    return out.drop("__d", b)

@@ -33,9 +33,9 @@ def running_sums(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequ
 
 
 def md5_bucket(key: Column, rows: int, per_bucket: int = PER_BUCKET) -> Column:
-    """Ranges of an md5 text (up to 65536) in which about ``per_bucket`` rows fall."""
-    n = min(65_536, max(1, -(-rows // per_bucket)))
-    return F.floor(F.conv(F.substring(key, 1, 4), 16, 10).cast("bigint") * n / 65_536).cast("int")
+    """Ranges of an md5 text (up to 2 ** 31) in which about ``per_bucket`` rows fall."""
+    n = min(1 << 31, max(1, -(-rows // per_bucket)))
+    return F.lit(0).cast("bigint") if n == 1 else F.floor(F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint") * n / float(1 << 32)).cast("bigint")
 
 
 def shuffled_rank(df: DataFrame, keys: Sequence[str], key: str, ties: Sequence[str], rank: str = "rank") -> DataFrame:
@@ -45,16 +45,28 @@ def shuffled_rank(df: DataFrame, keys: Sequence[str], key: str, ties: Sequence[s
     return running_sums(df, keys, md5_bucket(F.col(key), rows), order, {rank: F.lit(1).cast("bigint")})
 
 
-def value_buckets(df: DataFrame, value: str, rows: int | None = None, per_bucket: int = PER_BUCKET) -> tuple[DataFrame, str]:
-    """df with a column of value ranges of about ``per_bucket`` rows, rising with the value."""
+def value_buckets(df: DataFrame, value: str, rows: int | None = None, per_bucket: int = PER_BUCKET, cuts: int = 1_000) -> tuple[DataFrame, str]:
+    """df with a column of value ranges of about ``per_bucket`` rows, rising with the value.
+
+    Up to ``cuts`` ranges lie between approximate quantiles. Where more are wanted, each is cut again into
+    parts of equal width. Rows of equal value share a range.
+    """
     rows = df.count() if rows is None else rows
-    n = min(10_000, -(-rows // per_bucket))
-    name = "__range"
+    n, name = -(-rows // per_bucket), "__range"
     if n <= 1:
         return df.withColumn(name, F.lit(0.0)), name
-    cuts = df.approxQuantile(value, [i / n for i in range(1, n)], 0.1 / n)
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    return Bucketizer(splits=splits, inputCol=value, outputCol=name, handleInvalid="keep").transform(df), name
+    first = min(n, cuts)
+    marks = sorted(set(df.approxQuantile(value, [i / first for i in range(first + 1)], 0.1 / first)))
+    inner = marks[1:-1]
+    out = Bucketizer(splits=[float("-inf"), *inner, float("inf")], inputCol=value, outputCol=name, handleInvalid="keep").transform(df) if inner else df.withColumn(name, F.lit(0.0))
+    parts = -(-n // first)
+    if parts > 1 and len(marks) > 1:
+        at = F.least(F.greatest(F.col(name).cast("int"), F.lit(0)), F.lit(len(inner)))
+        low, high = (F.array(*[F.lit(m) for m in side]) for side in (marks[:-1], marks[1:]))
+        share = (F.col(value) - low[at]) / (high[at] - low[at])
+        part = F.least(F.greatest(F.floor(share * parts), F.lit(0)), F.lit(parts - 1))
+        out = out.withColumn(name, F.col(name) * parts + F.coalesce(part, F.lit(0)))
+    return out, name
 
 
 def dense_ids(df: DataFrame, value: str, pattern: str, name: str) -> DataFrame:

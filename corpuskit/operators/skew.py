@@ -9,6 +9,7 @@ gathered, so a hot key costs the same few histogram rows as a rare one.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,13 +36,13 @@ def exact_key_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
-    probs: Mapping[str, float],
+    probs: Mapping[str, float | Fraction],
     buckets: int = 1024,
     limit: int = 200_000,
 ) -> DataFrame:
     """keys, n_rows, n_values and one column per entry of ``probs`` with the exact quantile.
 
-    The quantile p of n values is the value of rank max(1, ceil(p * n)). Null and NaN values
+    The quantile p of n values is the value of rank max(1, ceil(p * n)), in whole numbers for a Fraction. Null and NaN values
     are counted in n_rows only; a key without values gets null quantiles; null keys form
     their own key; ties and repeated rows count one by one; an empty table gives no rows.
     Other columns are not read, so clashing names do not matter.
@@ -55,11 +56,10 @@ def exact_key_quantiles(
         rows.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.count("__v").alias("n_values"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     )
     names = list(probs)
-    state = (
-        base.filter("n_values > 0")
-        .select(*keys, "n_values", "__lo", "__hi", F.explode(F.array(*[F.struct(F.lit(k).alias("q"), F.lit(float(p)).alias("p")) for k, p in probs.items()])).alias("__q"))
-        .select(*keys, F.col("__q.q").alias("__q"), F.greatest(F.lit(1), F.ceil(F.col("__q.p") * F.col("n_values")).cast("bigint")).alias("__r"), "__lo", "__hi")
-    )
+    n = F.col("n_values")
+    rank = lambda p: F.expr(f"(n_values * {p.numerator} + {p.denominator - 1}) DIV {p.denominator}") if isinstance(p, Fraction) else F.ceil(F.lit(float(p)) * n).cast("bigint")
+    wanted = F.explode(F.array(*[F.struct(F.lit(k).alias("q"), F.greatest(F.lit(1).cast("bigint"), rank(p)).alias("r")) for k, p in probs.items()])).alias("__q")
+    state = base.filter("n_values > 0").select(*keys, "__lo", "__hi", wanted).select(*keys, F.col("__q.q").alias("__q"), F.col("__q.r").alias("__r"), "__lo", "__hi")
     state = materialize(state)
     done = []
     while True:
@@ -109,15 +109,21 @@ def skewed_key_stats(
     return first.groupBy(*keys).agg(F.sum("rows").alias("rows"), *[F.sum(k).alias(k) for k in flags], F.count("__d").alias("distinct_values"))
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], share_of: int, value: str) -> DataFrame:
-    """Keys holding at least 1/share_of of all rows, with their rows and median value.
+def heavy_keys(df: DataFrame, keys: Sequence[str], share_of: int) -> DataFrame:
+    """keys, rows of the keys that hold at least 1/share_of of all rows.
 
-    Rows and medians come from the histogram passes of exact_key_quantiles; keys with a null
-    part count in the total but are never returned.
+    In the order of the keys' hash such a key fills a stretch of ranks that no multiple of n / share_of
+    steps over, so exact_key_quantiles selects, by histograms of a fixed number of buckets however many keys there
+    are, at most share_of hashes among which all heavy keys are. Rows with those hashes are then counted by
+    their real keys. Keys with a null part count in the total but are never returned; no rows give no rows.
     """
-    stats = materialize(exact_key_quantiles(df, keys, value, {"median": 0.5}))
-    total = stats.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
-    out = stats.filter(F.col("n_rows") * share_of >= total)
-    for k in keys:
-        out = out.filter(F.col(k).isNotNull())
-    return out.select(*keys, "n_rows", "median")
+    whole = [F.col(k).isNotNull() for k in keys]
+    rows = df.select(F.lit(1).alias("__all"), *keys, F.shiftright(F.xxhash64(*keys), 1).alias("__h"))
+    at = exact_key_quantiles(rows, ["__all"], "__h", {f"q{i}": Fraction(i, share_of) for i in range(1, share_of + 1)}).first()
+    if at is None:
+        return df.select(*keys, F.lit(0).cast("bigint").alias("rows")).filter("false")
+    found = sorted({at[f"q{i}"] for i in range(1, share_of + 1)})
+    near = rows.filter(F.col("__h").isin(found))
+    for w in whole:
+        near = near.filter(w)
+    return near.groupBy(*keys).agg(F.count("*").alias("rows")).filter(F.col("rows") * share_of >= at["n_rows"])

@@ -21,7 +21,7 @@ def _p3_rows(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Combinations of source and generator with a twentieth of all rows or more."""
-    heavy = heavy_keys(_p3_rows(spark, sf_dir, "file_size_bytes"), ["source", "generator"], 20, "file_size_bytes")
+    heavy = heavy_keys(_p3_rows(spark, sf_dir), ["source", "generator"], 20)
     return heavy.filter(not_blank(F.col("source")) & not_blank(F.col("generator"))).select("source", "generator")
 
 

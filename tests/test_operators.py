@@ -70,7 +70,15 @@ def test_exact_quantiles(spark, kind):
 
 def test_heavy_keys(spark, rows):
     df = spark.createDataFrame([("a", 1)] * 10 + [("b", 2)] + [(None, 3)] * 9, "k string, v int")
-    assert rows(K.heavy_keys(df, ["k"], 2, "v"), "k") == [("a",)]
+    assert rows(K.heavy_keys(df, ["k"], 2), "k", "rows") == [("a", 10)]
+    assert K.heavy_keys(df.limit(0), ["k"], 2).count() == 0
+    rng = random.Random(6)
+    for n in (1, 39, 3000):
+        keys = [rng.choice(["x", "y"] + [f"k{i}" for i in range(rng.choice([3, 60]))]) for _ in range(n)]
+        many = spark.createDataFrame([(k, "g") for k in keys], "k string, rows string")
+        for share in (2, 7, 20):
+            want = sorted((k, keys.count(k)) for k in set(keys) if keys.count(k) * share >= n)
+            assert rows(K.heavy_keys(many, ["k"], share), "k", "rows") == want
     assert rows(K.skewed_key_stats(df, ["k"], "k", {"big": F.col("v") > 2}), "rows", "big", "distinct_values") == [(1, 0, 1), (9, 9, 0), (10, 0, 1)]
 
 

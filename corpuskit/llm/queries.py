@@ -102,6 +102,23 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _p5(spark, sf_dir).torn_entities().select("kind", "entity")
 
 
+_P5_SPLITS = f"""WITH RECURSIVE r AS (SELECT s.row_idx, s.group_id, c.split_component_id, nullif(nullif(nullif(lower(trim(s.generator)), ''), 'real'), 'unknown') AS gen
+  FROM scan_index s LEFT JOIN components c USING (row_idx)),
+e AS (SELECT DISTINCT row_idx, v FROM (SELECT row_idx, 'c' || split_component_id AS v FROM r UNION ALL SELECT row_idx, 'g' || group_id FROM r UNION ALL SELECT row_idx, 'n' || gen FROM r) WHERE v IS NOT NULL),
+b AS (SELECT 'r' || row_idx AS a, v AS b FROM e UNION ALL SELECT v, 'r' || row_idx FROM e),
+cc(v, m) USING KEY (v) AS (
+  SELECT 'r' || row_idx, row_idx FROM r UNION ALL SELECT DISTINCT v, 9223372036854775807 FROM e
+  UNION SELECT b.b, min(cc.m) FROM cc JOIN b ON cc.v = b.a JOIN recurring.cc o ON o.v = b.b WHERE cc.m < o.m GROUP BY 1),
+k AS (SELECT m AS cluster, count(*) AS size FROM cc JOIN r ON cc.v = 'r' || row_idx GROUP BY 1),
+o AS (SELECT *, row_number() OVER (ORDER BY size DESC, cluster) AS i, row_number() OVER (PARTITION BY size ORDER BY cluster) AS place, sum(size) OVER () AS total FROM k),
+g(i, size, pick, a, b, c) AS (SELECT 0::BIGINT, 0::BIGINT, '', 0.8::DOUBLE * any_value(total), 0.1::DOUBLE * any_value(total), 0.1::DOUBLE * any_value(total) FROM o
+  UNION ALL SELECT o.i, o.size, x.pick, g.a - CASE WHEN x.pick = 'train' THEN o.size ELSE 0 END, g.b - CASE WHEN x.pick = 'validation' THEN o.size ELSE 0 END, g.c - CASE WHEN x.pick = 'test' THEN o.size ELSE 0 END
+  FROM g JOIN o ON o.i = g.i + 1, LATERAL (SELECT CASE WHEN g.a >= g.b AND g.a >= g.c THEN 'train' WHEN g.b >= g.c THEN 'validation' ELSE 'test' END AS pick) x),
+n AS (SELECT size, count(*) FILTER (WHERE pick = 'train') AS t, count(*) FILTER (WHERE pick <> 'test') AS u FROM g WHERE i > 0 GROUP BY 1)
+SELECT r.row_idx, o.cluster, CASE WHEN place <= t THEN 'train' WHEN place <= u THEN 'validation' ELSE 'test' END AS split
+FROM r JOIN cc ON cc.v = 'r' || r.row_idx JOIN o ON o.cluster = cc.m JOIN n ON n.size = o.size"""
+
+
 def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cluster and split of every row."""
     return _p5(spark, sf_dir).rows().withColumnRenamed("id", "row_idx")
@@ -271,6 +288,7 @@ def oracle_sql() -> dict[str, str]:
         "p2_found": _P2,
         "p4_found": _P4,
         "p5_found": _P5,
+        "p5_splits": _P5_SPLITS,
         "p6_found": _P6,
         "p6_overlap_report": _P6_REPORT,
         "p7_found": _P7,

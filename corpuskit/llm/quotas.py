@@ -1,80 +1,86 @@
 """Problem 4: a sample whose category shares follow targets.
 
 Weights are raked over the margins of every category column and of the joint category by
-iterative proportional fitting, no category asking for more than it has. Each category's
-share of the sample is drawn by weighted exponential keys: the quota's smallest keys, cut at
-an exact rank without gathering a category. Minimums are then repaired, and what targets miss is
-reported. Only the table of target categories, whose size is checked, comes to the driver.
+iterative proportional fitting, no category asking for more than it has. Items stand in each category in
+the order of weighted exponential keys; a category's quota is drawn from the front of that order, at an
+exact rank and without gathering a category. Minimums are then repaired. What targets miss is read from
+the drawn order: a category is short where raking leaves it below its target and even its whole order,
+items that others draw included, ends before it. Only the table of target categories, whose size is checked,
+comes to the driver.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.common import lookup_join, materialize, norm, ranked
 
 #: Most target categories that are raked on the driver.
-MAX_TARGETS = 100_000
+MAX_TARGETS = 1_000_000
 
 
 def rake(target: dict[tuple, float], have: dict[tuple, int], size: int, rounds: int = 200) -> dict[tuple, float]:
     """Expected rows of each category: the joint targets fitted to every single-column margin
     of the targets, no category above what it has; what a category lacks goes to those that
     share its column values."""
+    import numpy as np
+
+    out = dict.fromkeys(target, 0.0)
     cells = [c for c in target if have.get(c, 0) > 0]
     if not cells or size <= 0:
-        return {c: 0.0 for c in target}
-    dims = len(cells[0])
+        return out
+    share = np.array([target[c] for c in cells])
+    most = np.array([have[c] for c in cells], dtype=float)
     margins = []
-    for d in range(dims):
-        want: dict = {}
-        for c, share in target.items():
-            want[c[d]] = want.get(c[d], 0.0) + share * size
-        margins.append(want)
-    x = {c: min(float(have[c]), target[c] * size) or 1e-9 for c in cells}
+    for d in range(len(cells[0])):
+        code: dict = {}
+        for c in target:
+            code.setdefault(c[d], len(code))
+        every = np.bincount([code[c[d]] for c in target], weights=[target[c] * size for c in target], minlength=len(code))
+        margins.append((np.array([code[c[d]] for c in cells]), every))
+    x = np.minimum(most, share * size)
+    x[x == 0] = 1e-9
     for _ in range(rounds):
-        moved = 0.0
-        for d in range(dims):
-            now: dict = {}
-            for c in cells:
-                now[c[d]] = now.get(c[d], 0.0) + x[c]
-            for c in cells:
-                y = min(float(have[c]), x[c] * margins[d][c[d]] / now[c[d]]) if now[c[d]] else x[c]
-                moved = max(moved, abs(y - x[c]))
-                x[c] = y
-        if moved < 1e-9:
+        before = x
+        for of, want in margins:
+            now = np.bincount(of, weights=x, minlength=len(want))
+            x = np.where(now[of] > 0, np.minimum(most, x * want[of] / np.where(now[of] > 0, now[of], 1.0)), x)
+        if np.abs(x - before).max() < 1e-9:
             break
     # the rest of the sample goes where rows are left, in proportion to the targets
     for _ in range(rounds):
-        gap = size - sum(x.values())
-        open_ = {c: target[c] for c in cells if x[c] < have[c] - 1e-9 and target[c] > 0}
-        if gap < 1e-6 or not open_:
+        gap = size - x.sum()
+        room = (x < most - 1e-9) & (share > 0)
+        if gap < 1e-6 or not room.any():
             break
-        whole = sum(open_.values())
-        for c, t in open_.items():
-            x[c] = min(float(have[c]), x[c] + gap * t / whole)
-    return {c: x.get(c, 0.0) for c in target}
+        x = np.where(room, np.minimum(most, x + gap * share / share[room].sum()), x)
+    return out | dict(zip(cells, x.tolist()))
 
 
 def whole_quotas(x: dict[tuple, float], have: dict[tuple, int], least: dict[tuple, int], size: int) -> dict[tuple, int]:
     """Whole rows by largest remainder (ties by category), then minimums repaired: rows come
     from the categories furthest above their raked share that stay above their minimum."""
+    order = {c: k for k, c in enumerate(sorted(x, key=str))}
     q = {c: min(int(v), have.get(c, 0)) for c, v in x.items()}
     rest = min(size, int(round(sum(x.values())))) - sum(q.values())
-    for c in sorted(x, key=lambda c: (-(x[c] - int(x[c])), c)):
+    for c in sorted(x, key=lambda c: (-(x[c] - int(x[c])), order[c])):
         if rest > 0 and q[c] < have.get(c, 0):
             q[c], rest = q[c] + 1, rest - 1
-    for c in sorted(x):
-        while q[c] < min(least[c], have.get(c, 0)):
-            q[c] += 1
-            if sum(q.values()) > size:
-                giver = max((g for g in q if g != c and q[g] > least[g]), key=lambda g: (q[g] - x[g], g), default=None)
-                if giver is None:
-                    break
-                q[giver] -= 1
+    for c in q:
+        q[c] = max(q[c], min(least[c], have.get(c, 0)))
+    over = sum(q.values()) - size
+    givers = [(x[c] - q[c], order[c], c) for c in q if q[c] > least[c]]
+    heapq.heapify(givers)
+    while over > 0 and givers:
+        _, k, c = heapq.heappop(givers)
+        q[c], over = q[c] - 1, over - 1
+        if q[c] > least[c]:
+            heapq.heappush(givers, (x[c] - q[c], k, c))
     return q
 
 
@@ -97,8 +103,8 @@ def sample_by_targets(
     categories counts as available in each and is drawn once, under the first of them; its
     weight is the largest listed (null, NaN or not positive counts as 1). Repeated target rows
     are added up (minimum: the largest). The report has one row a target category: columns,
-    target_share, min_rows, available, wanted, drawn, gap (wanted minus drawn, at least 0),
-    short (available below the wanted rows or the minimum).
+    target_share, min_rows, available, wanted, raked, drawn, gap (wanted minus drawn, at least 0),
+    short (below its target or minimum after raking, and with every item of the category).
     """
     columns = list(columns)
     kinds = dict(rows.dtypes)
@@ -123,27 +129,29 @@ def sample_by_targets(
     table = spark.createDataFrame([(*c, k) for c, k in cats.items()], f"{schema}, __cat int")
     # the table was counted, so it is broadcast
     matched = materialize(lookup_join(items, table, columns).filter(" AND ".join(f"`{c}` IS NOT NULL" for c in columns)))
-    available = {r[0]: r[1] for r in matched.groupBy("__cat").count().collect()}
-    first = materialize(matched.groupBy("__item").agg(F.min(F.struct("__cat", (-F.col("__w")).alias("w"))).alias("__x")).select("__item", "__x.__cat", (-F.col("__x.w")).alias("__w")))
-    free = {r[0]: r[1] for r in first.groupBy("__cat").count().collect()}
+    listed_in = Window.partitionBy("__item").orderBy("__cat")
+    matched = materialize(matched.withColumn("__own", F.row_number().over(listed_in) == 1).select("__item", "__cat", "__w", "__own"))
+    free = {r[0]: r[1] for r in matched.filter("__own").groupBy("__cat").count().collect()}
     have = {c: free.get(k, 0) for c, k in cats.items()}
     target = {c: float(ordered[k]["target_share"] or 0.0) for c, k in cats.items()}
     least = {c: int(ordered[k]["min_rows"] or 0) for c, k in cats.items()}
     x = rake(target, have, size)
     quota = whole_quotas(x, have, least, size)
+    need = {c: max(target[c] * size, float(least[c])) for c in cats}
     u = (F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__item").cast("string"))), 1, 13), 16, 10).cast("double") + 0.5) / float(16**13)
-    # an exponential key falls in (0, inf); its place in that order spread over BIGINT is 1 - exp(-key)
-    place = (1.0 - F.pow(u, 1.0 / F.col("__w"))) * float(2**62)
-    place = F.least(place * 2 - float(2**62), F.lit(float(2**62 - 2**12))).cast("bigint") * 2
-    keyed = first.withColumn("__o", place + F.pmod(F.xxhash64("__item"), F.lit(2)))
-    quotas = spark.createDataFrame([(k, quota[c], *c) for c, k in cats.items()], f"__cat int, quota bigint, {schema}")
-    drawn = lookup_join(ranked(keyed, ["__cat"], "__o", "__rank", ["__item"]), quotas, ["__cat"]).filter(F.col("__rank") <= F.col("quota"))
-    sample = drawn.select(F.col("__item").alias(item), *columns, "quota")
-    counted = {r[0]: r[1] for r in drawn.groupBy("__cat").count().collect()}
+    # an exponential key falls in (0, inf), 1 - exp(-key) in (0, 1); items that an earlier category draws stand behind
+    place = (1.0 - F.pow(u, 1.0 / F.col("__w"))) + F.when(F.col("__own"), 0.0).otherwise(2.0)
+    quotas = spark.createDataFrame([(k, quota[c], math.ceil(need[c]), *c) for c, k in cats.items()], f"__cat int, quota bigint, __need bigint, {schema}")
+    order = ranked(matched.withColumn("__o", place), ["__cat"], "__o", "__rank", ["__item"])
+    order = materialize(lookup_join(order, quotas, ["__cat"]).filter((F.col("__rank") <= F.col("quota")) | (F.col("__rank") <= F.col("__need"))))
+    within = F.col("__own") & (F.col("__rank") <= F.col("quota"))
+    sample = order.filter(within).select(F.col("__item").alias(item), *columns, "quota")
+    counted = {r[0]: (r[1], r[2]) for r in order.groupBy("__cat").agg(F.count(F.when(within, 1)), F.count(F.when(F.col("__rank") <= F.col("__need"), 1))).collect()}
+    available = {r[0]: r[1] for r in matched.groupBy("__cat").count().collect()}
     lines = []
     for c, k in cats.items():
-        want, got = target[c] * size, counted.get(k, 0)
-        n = available.get(k, 0)
-        lines.append((*c, target[c], least[c], n, want, got, max(0.0, float(max(want, least[c]) - got)), n < want or n < least[c]))
-    report = spark.createDataFrame(lines, f"{schema}, target_share double, min_rows int, available bigint, wanted double, drawn bigint, gap double, short boolean")
+        drawn, reached = counted.get(k, (0, 0))
+        short = x[c] < math.ceil(need[c]) and reached < math.ceil(need[c])
+        lines.append((*c, target[c], least[c], available.get(k, 0), target[c] * size, x[c], drawn, max(0.0, need[c] - drawn), short))
+    report = spark.createDataFrame(lines, f"{schema}, target_share double, min_rows int, available bigint, wanted double, raked double, drawn bigint, gap double, short boolean")
     return sample, report

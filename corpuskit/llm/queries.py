@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.common import materialize, norm, spread
+from ..operators.common import lookup_join, materialize, norm, spread
 from .components import linked_groups
 from .groupsplit import GroupSplit
 from .leakage import leaked_passages
@@ -147,10 +147,10 @@ _FIELDS = ["generator", "dataset", "domain", "split_hint", "content_id", "group_
 def _p7(spark: SparkSession, sf_dir: str) -> DataFrame:
     comp = _read(spark, sf_dir, "components").select("row_idx", "dedup_component_id").filter("dedup_component_id IS NOT NULL")
     many = comp.groupBy("dedup_component_id").agg(F.count("*").alias("n")).filter("n > 1").select("dedup_component_id")
-    comp = comp.join(many, "dedup_component_id")
+    comp = lookup_join(comp, many, ["dedup_component_id"], "left_semi")
     trust = _read(spark, sf_dir, "manifest_source").groupBy(F.col("name").alias("src")).agg(F.max("sample_weight").alias("trust"))
     rows = _read(spark, sf_dir, "scan_index").select("row_idx", "source", "read_ok", "width", "height", "mtime", *_FIELDS)
-    rows = rows.join(comp, "row_idx").withColumn("src", norm("source")).join(trust, "src", "left").drop("src")
+    rows = lookup_join(lookup_join(rows, comp, ["row_idx"]).withColumn("src", norm("source")), trust, ["src"], "left").drop("src")
     rows = rows.withColumns({
         "trust": F.coalesce("trust", F.lit(0.0)),
         "readable": F.coalesce((F.col("read_ok") == 1).cast("int"), F.lit(0)),

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from corpuskit.llm import survivor as S
 from corpuskit.llm.components import linked_groups
 from corpuskit.llm.groupsplit import GroupSplit, greedy_counts, hierarchical_components
 from corpuskit.llm.overlap import cross_split_matches, cross_split_pairs, overlap_report
@@ -263,3 +264,52 @@ def test_consensus_of_many_values(spark):
     df = spark.createDataFrame(data, "key string, value string, weight double")
     out = {r["key"]: r["value"] for r in field_consensus(df, ["key"], chunk=16).collect()}
     assert out["k"].startswith("the quick brown fox") and out["s"] == "one" and out["p"] == "b"
+
+
+def test_consensus_ignores_a_common_beginning():
+    rng = random.Random(8)
+    words = "red blue green tin kite fox".split()
+    for _ in range(120):
+        values = list({" ".join(rng.choice(words) for _ in range(rng.randrange(1, 7))) for _ in range(4)})
+        weights = [rng.choice([1.0, 2.0, 0.5]) for _ in values]
+        prefix = "lumen " * 400
+        assert consensus([prefix + v for v in values], weights)[1] == prefix + consensus(values, weights)[1]
+
+
+def test_alignment_is_the_same_in_blocks_and_long_rows():
+    rng = random.Random(9)
+
+    def cost(columns, seq):
+        best = [[float(j) for j in range(len(seq) + 1)]]
+        for c in columns:
+            skip, up = 0.5 if "" in c else 1.0, best[-1]
+            row = [up[0] + skip]
+            for j, t in enumerate(seq):
+                row.append(min(up[j] + (0.0 if t in c else 1.5), up[j + 1] + skip, row[j] + 1.0))
+            best.append(row)
+        return best[-1][-1]
+
+    for n, m in ((5, 7), (60, 70), (90, 20), (0, 3), (3, 0)):
+        columns = [{rng.choice("abcdef"): 1.0} | ({"": 0.5} if rng.random() < 0.3 else {}) for _ in range(n)]
+        seq = [rng.choice("abcdef") for _ in range(m)]
+        if n and m:  # nothing to trim
+            columns[0], columns[-1], seq[0], seq[-1] = {"x": 1.0}, {"y": 1.0}, "p", "q"
+        pairs = S._align(columns, seq)
+        assert [i for i, _ in pairs if i >= 0] == list(range(n)) and [j for _, j in pairs if j >= 0] == list(range(m))
+        paid = sum((0.0 if seq[j] in columns[i] else 1.5) if i >= 0 and j >= 0 else (1.0 if i < 0 else 0.5 if "" in columns[i] else 1.0) for i, j in pairs)
+        assert paid == cost(columns, seq)
+        text = [rng.choice("abcdef") for _ in range(n)]
+        short = S._distance(text, seq)
+        assert short == S._distance(seq, text) and abs(n - m) <= short <= max(n, m)
+    many = [[f"w{rng.randrange(50)}" for _ in range(2500)] for _ in range(2)]
+    assert len(S._align([{t: 1.0} for t in many[0]], many[1])) >= 2500  # in blocks
+
+
+@pytest.mark.parametrize("chunk", [3, 128])
+def test_elected_members_follow_the_order(spark, chunk):
+    rng = random.Random(10)
+    data = [(rng.choice(["hot", "hot", "a", "b", None]), rng.choice([0, 1, None]), rng.choice([0.5, 1.0, float("nan"), None]), i) for i in range(80)]
+    df = spark.createDataFrame(data, "g string, ok int, w double, id bigint")
+    got = {r["g"]: r["id"] for r in S.elected_members(df.filter("g IS NOT NULL"), "g", [("ok", True), ("w", True), ("id", False)], chunk).collect()}
+    key = lambda r: (r[1] is None, -(r[1] or 0), r[2] is None, -1e9 if r[2] is not None and r[2] != r[2] else -(r[2] or 0), r[3])
+    assert got == {g: min((r for r in data if r[0] == g), key=key)[3] for g in ("hot", "a", "b")}

@@ -111,10 +111,6 @@ def sample_by_targets(
     key = lambda c: norm(c) if kinds[c] == "string" else F.col(c)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     w = F.when((w > 0) & ~F.isnan(w), w).otherwise(1.0)
-    items = rows.select(F.col(item).alias("__item"), *[key(c).alias(c) for c in columns], w.alias("__w")).filter("__item IS NOT NULL")
-    items = materialize(items.groupBy("__item", *columns).agg(F.max("__w").alias("__w")))
-    total = items.select("__item").distinct().count()
-    size = total // one_in
     tkinds = dict(targets.dtypes)
     tkey = lambda c: norm(c) if tkinds[c] == "string" else F.col(c)
     wanted = targets.select(*[tkey(c).alias(c) for c in columns], F.col(share).cast("double").alias("target_share"), F.col(minimum).alias("min_rows"))
@@ -126,11 +122,14 @@ def sample_by_targets(
     cats = {tuple(r[c] for c in columns): k for k, r in enumerate(sorted(listed, key=lambda r: [str(r[c]) for c in columns]))}
     ordered = sorted(listed, key=lambda r: cats[tuple(r[c] for c in columns)])
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns)
-    table = spark.createDataFrame([(*c, k) for c, k in cats.items()], f"{schema}, __cat int")
-    # the table was counted, so it is broadcast
-    matched = materialize(lookup_join(items, table, columns).filter(" AND ".join(f"`{c}` IS NOT NULL" for c in columns)))
-    listed_in = Window.partitionBy("__item").orderBy("__cat")
-    matched = materialize(matched.withColumn("__own", F.row_number().over(listed_in) == 1).select("__item", "__cat", "__w", "__own"))
+    table = spark.createDataFrame([(*c, k) for c, k in cats.items() if None not in c], f"{schema}, __cat int")
+    # rows to categories while they are still rows, then distinct items, each with its first category
+    items = rows.select(F.col(item).alias("__item"), *[key(c).alias(c) for c in columns], w.alias("__w")).filter("__item IS NOT NULL")
+    items = lookup_join(items, table, columns, "left").groupBy("__item", "__cat").agg(F.max("__w").alias("__w"))
+    place = F.row_number().over(Window.partitionBy("__item").orderBy(F.col("__cat").asc_nulls_last()))
+    items = materialize(items.withColumn("__own", place == 1))
+    size = items.filter("__own").count() // one_in
+    matched = items.filter("__cat IS NOT NULL")
     free = {r[0]: r[1] for r in matched.filter("__own").groupBy("__cat").count().collect()}
     have = {c: free.get(k, 0) for c, k in cats.items()}
     target = {c: float(ordered[k]["target_share"] or 0.0) for c, k in cats.items()}

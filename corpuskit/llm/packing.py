@@ -8,7 +8,7 @@ gains nothing.
 
 from __future__ import annotations
 
-import os
+import itertools
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators.common import materialize, release
 
 #: Vocabulary of public byte-level BPE ranks; its path is a parameter.
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+VOCABULARY = "file:///opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Split pattern that belongs to that vocabulary. Fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -25,12 +25,18 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 def token_counts(docs: DataFrame, doc_id: str, text: str, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
     """(doc, tokens) of every document with a text, whole texts counted.
 
-    The vocabulary file (limited to 64 MB) is read on the driver and broadcast.
+    The vocabulary file, on any file system that Spark reads (limited to 64 MB), is read once on the driver and broadcast.
     """
-    if os.path.getsize(vocabulary) > 64 << 20:
+    spark = docs.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(vocabulary)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.getFileStatus(path).getLen() > 64 << 20:
         raise ValueError("the vocabulary is larger than 64 MB")
-    with open(vocabulary, "rb") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+    stream = files.open(path)
+    try:
+        shared = spark.sparkContext.broadcast(bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)))
+    finally:
+        stream.close()
 
     def run(batches: Iterator) -> Iterator:
         import base64
@@ -131,13 +137,14 @@ def certified_bounds(items: DataFrame) -> DataFrame:
 _ITEM = "container string, capacity bigint, doc bigint, piece bigint, start bigint, size bigint, part int"
 
 
-def pack_documents(counts: DataFrame, specs: DataFrame, rounds: int = 4, part_items: int = 20_000) -> DataFrame:
+def pack_documents(counts: DataFrame, specs: DataFrame, part_items: int = 20_000) -> DataFrame:
     """container, bin, doc_id, piece, start_token, tokens: each document in every container.
 
     counts: (doc, tokens), one row a document; specs: (container, capacity_tokens), a few rows. A text larger than
     the capacity is cut into full pieces and a rest; all others stay whole. Texts without tokens
     are left out, as are null or non-positive capacities; equal sizes are taken in order of the
-    id. A part packs about ``part_items`` items in one task, twice as many after each exchange.
+    id. A part packs about ``part_items`` items in one task, twice as many after each of the first four exchanges;
+    exchanges end when a container is at its bound or one didn't help it. More than 1,000 containers are refused.
     """
     specs = specs.filter("container IS NOT NULL AND capacity_tokens > 0").select("container", F.col("capacity_tokens").cast("bigint").alias("capacity"))
     specs = specs.groupBy("container").agg(F.max("capacity").alias("capacity"))
@@ -160,14 +167,14 @@ def pack_documents(counts: DataFrame, specs: DataFrame, rounds: int = 4, part_it
     done, settled = [], dict.fromkeys(goal, 0)
     count = lambda df: {x[0]: x[1] for x in df.select("container", "bin").distinct().groupBy("container").count().collect()}
     before: dict[str, int] = {}
-    for r in range(rounds):
+    for r in itertools.count():
         packed = materialize(loose.groupBy("container", "part").applyInPandas(_pack, _ITEM + ", bin bigint, free bigint, gap bigint, loosest boolean"))
         release(loose)
         named = packed.select("container", F.concat_ws("-", "container", F.lit(r), "part", "bin").alias("bin"), "doc", "piece", "start", "size", "capacity", "free", "gap", "loosest")
         now = count(named)
         # a container at its bound is certified as a whole, and one that a round didn't help is left
         swap = [c for c, n in now.items() if settled[c] + n > goal[c] and n < before.get(c, n + 1)]
-        if r == rounds - 1 or not swap:
+        if not swap:
             done.append(named)
             break
         # full bins and certified parts stay, but for the part's loosest bin
@@ -177,7 +184,7 @@ def pack_documents(counts: DataFrame, specs: DataFrame, rounds: int = 4, part_it
         settled = {c: settled[c] + kept.get(c, 0) for c in settled}
         again = named.filter(back).select("container", "capacity", "doc", "piece", "start", "size")
         sizes = [(x[0], x[1]) for x in again.groupBy("container").count().collect()]
-        of = F.coalesce(*[F.when(F.col("container") == c, F.lit(max(1, -(-n // (part_items << (r + 1)))))) for c, n in sizes], F.lit(1))
+        of = F.coalesce(*[F.when(F.col("container") == c, F.lit(max(1, -(-n // (part_items << min(r + 1, 4)))))) for c, n in sizes], F.lit(1))
         loose = materialize(again.withColumn("part", F.pmod(F.xxhash64("doc", F.lit(r)), of).cast("int")))
     out = full
     for d in done:

@@ -81,6 +81,30 @@ def p4_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _p4(spark, sf_dir)[0]
 
 
+def p4_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sample and report of every category against each other: what the rows themselves say it holds, how
+    many are its own (listed under no earlier category), and whether the drawn rows are within both and reach the minimum."""
+    columns = ["source", "generator", "label"]
+    sample, report = _p4(spark, sf_dir)
+    drawn = sample.groupBy(*columns).agg(F.count("*").alias("n"), F.countDistinct("path").alias("paths"))
+    rows, whole = sample.agg(F.count("*"), F.countDistinct("path")).first()
+    out = report.join(drawn, columns, "left").fillna(0, ["n", "paths"])
+    return out.select(
+        *columns, "available", F.round("wanted", 6).alias("wanted"), "short",
+        ((F.col("n") == F.col("drawn")) & (F.col("paths") == F.col("n")) & F.lit(rows == whole)).alias("drawn_once"),
+        ((F.col("n") <= F.col("available")) & (F.col("raked") <= F.col("available"))).alias("within"),
+        ((F.col("n") >= F.least("min_rows", "available")) | (F.col("n") >= F.floor("raked"))).alias("reached"),
+        F.lit(rows).cast("bigint").alias("sample_rows"),
+    )
+
+
+_P4_AUDIT = """WITH p AS (SELECT DISTINCT lower(trim(source)) AS source, lower(trim(generator)) AS generator, label, path FROM train_csv WHERE path IS NOT NULL),
+k AS (SELECT t.source, t.generator, t.label, target_share, min_rows, path, row_number() OVER (PARTITION BY path ORDER BY t.source, t.generator, t.label) AS place FROM target_mix t JOIN p USING (source, generator, label)),
+n AS (SELECT source, generator, label, count(*) AS have FROM k GROUP BY ALL),
+size AS (SELECT count(DISTINCT path) // 5 AS size FROM train_csv)
+SELECT t.source, t.generator, t.label, coalesce(have, 0) AS available, round(target_share * size, 6) AS wanted, coalesce(have, 0) < target_share * size OR coalesce(have, 0) < min_rows AS short,
+  true AS drawn_once, true AS within, true AS reached, least(size, (SELECT count(*) FROM k WHERE place = 1)) AS sample_rows
+FROM target_mix t LEFT JOIN n USING (source, generator, label), size"""
 _P4 = """WITH p AS (SELECT DISTINCT lower(trim(source)) AS source, lower(trim(generator)) AS generator, label, path FROM train_csv WHERE path IS NOT NULL),
 n AS (SELECT source, generator, label, count(*) AS have FROM p GROUP BY ALL),
 size AS (SELECT count(DISTINCT path) // 5 AS size FROM train_csv)
@@ -171,6 +195,30 @@ def p7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _p7(spark, sf_dir).select("dedup_component_id", "row_idx", "source", *_FIELDS, "filled")
 
 
+def p7_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The survivors with their filled and open gaps, and whether every filled value is one that the component holds."""
+    r = materialize(_p7(spark, sf_dir))
+    own = _read(spark, sf_dir, "scan_index").select("row_idx", *[F.when(F.trim(f) != "", F.col(f)).alias(f) for f in _FIELDS])
+    comp = lookup_join(_read(spark, sf_dir, "components").select(F.col("row_idx").alias("member"), "dedup_component_id"), r.select("dedup_component_id"), ["dedup_component_id"], "left_semi")
+    pairs = lambda prefix: F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).cast("string").alias("v")) for f in _FIELDS])).alias(prefix)
+    held = comp.join(own, F.col("member") == F.col("row_idx")).select("dedup_component_id", pairs("x")).select("dedup_component_id", "x.*").filter("v IS NOT NULL").distinct()
+    said = r.select("dedup_component_id", "row_idx", pairs("x")).select("dedup_component_id", "row_idx", "x.*")
+    mine = own.join(r.select("row_idx"), "row_idx").select("row_idx", pairs("x")).select("row_idx", "x.f", F.col("x.v").alias("was"))
+    out = said.join(mine, ["row_idx", "f"]).join(held.withColumn("known", F.lit(1)), ["dedup_component_id", "f", "v"], "left")
+    kept = F.when(F.col("was").isNotNull(), F.col("was").eqNullSafe(F.col("v"))).otherwise(F.col("v").isNull() | F.col("known").isNotNull())
+    empty = F.coalesce(F.trim("v") == "", F.lit(True))
+    return out.groupBy("dedup_component_id", "row_idx").agg(
+        F.count(F.when(F.col("was").isNull() & ~empty, 1)).alias("filled"), F.count(F.when(empty, 1)).alias("open"), F.min(kept).alias("held")
+    )
+
+
+_FIELD_LIST = ", ".join(_FIELDS)
+_P7_AUDIT = f"""WITH c AS (SELECT dedup_component_id AS g, row_idx FROM components WHERE dedup_component_id IS NOT NULL),
+s AS ({{p7}}),
+f AS (SELECT row_idx, unnest(['{"', '".join(_FIELDS)}']) AS f, unnest([{", ".join(f"CASE WHEN trim({f}) <> '' THEN CAST({f} AS VARCHAR) END" for f in _FIELDS)}]) AS v FROM scan_index),
+h AS (SELECT g, f, count(v) > 0 AS any_value FROM c JOIN f USING (row_idx) GROUP BY ALL)
+SELECT s.dedup_component_id, s.row_idx, count(*) FILTER (WHERE v IS NULL AND any_value) AS filled, count(*) FILTER (WHERE NOT any_value) AS open, true AS held
+FROM s JOIN f USING (row_idx) JOIN h ON h.g = s.dedup_component_id AND h.f = f.f GROUP BY ALL"""
 _P7 = """WITH m AS (SELECT name, max(sample_weight) AS w FROM manifest_source GROUP BY 1),
 c AS (SELECT dedup_component_id, row_idx, count(*) OVER (PARTITION BY dedup_component_id) AS n FROM components WHERE dedup_component_id IS NOT NULL)
 SELECT dedup_component_id, row_idx FROM (
@@ -205,6 +253,26 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_report(materialize(_p8(spark, sf_dir)), _read(spark, sf_dir, "container_spec"))
 
 
+def p8_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a valid packing has none of: bins over capacity, texts lost or doubled, texts cut without need, gaps between pieces."""
+    specs = _read(spark, sf_dir, "container_spec").select("container", F.col("capacity_tokens").cast("bigint").alias("capacity"))
+    counts = materialize(token_counts(spread(_read(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text"))
+    packed = materialize(pack_documents(counts, _read(spark, sf_dir, "container_spec"))).join(F.broadcast(specs), "container")
+    loads = packed.groupBy("container", "bin").agg(F.sum("tokens").alias("load"), F.max("capacity").alias("capacity"))
+    over = loads.groupBy("container").agg(F.count(F.when(F.col("load") > F.col("capacity"), 1)).alias("overfull"))
+    whole = packed.groupBy("container", "doc_id").agg(F.sum("tokens").alias("got"), F.count("*").alias("pieces"), F.max("capacity").alias("capacity"), F.max(F.col("start_token") + F.col("tokens")).alias("end"))
+    whole = whole.join(counts.select(F.col("doc").alias("doc_id"), F.col("tokens").alias("want")), "doc_id")
+    least = F.ceil(F.col("want") / F.col("capacity"))
+    sums = whole.groupBy("container").agg(
+        F.count("*").alias("documents"), F.count(F.when((F.col("got") != F.col("want")) | (F.col("end") != F.col("want")), 1)).alias("torn"), F.count(F.when(F.col("pieces") != least, 1)).alias("cut_needlessly")
+    )
+    return specs.join(over, "container").join(sums, "container")
+
+
+_P8_AUDIT = """SELECT container, CAST(capacity_tokens AS BIGINT) AS capacity, 0::BIGINT AS overfull, (SELECT count(*) FROM documents WHERE text <> '' AND doc_id IS NOT NULL) AS documents,
+  0::BIGINT AS torn, 0::BIGINT AS cut_needlessly FROM container_spec"""
+
+
 def _p9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return leaked_passages(docs, "doc_id", "text", _read(spark, sf_dir, "eval_item"), "item_id", "text", min_words=12)
@@ -266,14 +334,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p4_found": p4_found,
         "p4_report": p4_report,
         "p4_sample": p4_sample,
+        "p4_audit": p4_audit,
         "p5_found": p5_found,
         "p5_splits": p5_splits,
         "p6_found": p6_found,
         "p6_overlap_report": p6_overlap_report,
         "p7_found": p7_found,
         "p7_records": p7_records,
+        "p7_audit": p7_audit,
         "p8_containers": p8_containers,
         "p8_report": p8_report,
+        "p8_audit": p8_audit,
         "p9_found": p9_found,
         "p9_leaks": p9_leaks,
         "p10_found": p10_found,
@@ -287,10 +358,13 @@ def oracle_sql() -> dict[str, str]:
         "p1_top_rows": _P1.format(cols="source_norm, hard_type_norm, rank, replay_id, path, priority"),
         "p2_found": _P2,
         "p4_found": _P4,
+        "p4_audit": _P4_AUDIT,
         "p5_found": _P5,
         "p5_splits": _P5_SPLITS,
         "p6_found": _P6,
         "p6_overlap_report": _P6_REPORT,
         "p7_found": _P7,
+        "p7_audit": _P7_AUDIT.replace("{p7}", _P7),
+        "p8_audit": _P8_AUDIT,
         "p9_found": _P9,
     }

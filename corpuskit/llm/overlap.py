@@ -22,6 +22,8 @@ MAX_BITS = 5
 #: Distinct values of a shard, and of one side in one task; larger shards are cut into a grid.
 SHARD_VALUES = 20_000
 TASK_VALUES = 100_000
+#: Rows of one hash or path that meet those of another in one task.
+BLOCK_ROWS = 2_000
 
 
 def hash_bits(c: Column) -> Column:
@@ -166,13 +168,38 @@ def cross_split_matches(rows: DataFrame, row_id: str, path: str, phash: str, spl
     return r, found.filter("path IS NULL").drop("path"), found.filter("path IS NOT NULL").select(F.col("path").alias("p"))
 
 
-def cross_split_pairs(rows: DataFrame, row_id: str, path: str, phash: str, split: str) -> DataFrame:
+def row_pairs(pairs: DataFrame, ev: DataFrame, tr: DataFrame, block: int = BLOCK_ROWS) -> DataFrame:
+    """(ei, ti) of every (e, t) pair of values, the rows (e, ei) of the one and (t, ti) of the other.
+
+    Only rows of paired values are moved. A value held by more than ``block`` rows is cut
+    into blocks, and each block of one side meets each of the other in a task of its own.
+    """
+    pairs = materialize(pairs.select("e", "t"))
+    sides, cuts = [], []
+    for rows, value, row, n in ((ev, "e", "ei", "ni"), (tr, "t", "ti", "nj")):
+        own = materialize(lookup_join(rows.select(value, row), pairs.select(value).distinct(), [value], "left_semi"))
+        cuts.append(materialize(own.groupBy(value).agg(F.ceil(F.count("*") / block).cast("int").alias(n)).filter(F.col(n) > 1)))
+        sides.append(own)
+    if all(c.isEmpty() for c in cuts):
+        return pairs.join(sides[0], "e").join(sides[1], "t").select("ei", "ti")
+    blocks = lambda df, k: lookup_join(df, cuts[k], ["et"[k]], "left").fillna(1, ["ni", "nj"][k])
+    grid = materialize(blocks(blocks(pairs, 0), 1))
+    plain = grid.filter("ni = 1 AND nj = 1").join(sides[0], "e").join(sides[1], "t").select("ei", "ti")
+    cells = grid.filter("ni > 1 OR nj > 1").select("e", "t", "nj", F.explode(F.sequence(F.lit(0), F.col("ni") - 1)).alias("i"))
+    cells = materialize(cells.select("e", "t", "i", F.explode(F.sequence(F.lit(0), F.col("nj") - 1)).alias("j")))
+    left = blocks(sides[0], 0).withColumn("i", F.pmod(F.xxhash64("ei"), F.col("ni")).cast("int")).drop("ni")
+    right = blocks(sides[1], 1).withColumn("j", F.pmod(F.xxhash64("ti"), F.col("nj")).cast("int")).drop("nj")
+    hot = cells.join(left, ["e", "i"]).join(cells.join(right, ["t", "j"]), ["e", "t", "i", "j"]).select("ei", "ti")
+    return plain.unionByName(hot)
+
+
+def cross_split_pairs(rows: DataFrame, row_id: str, path: str, phash: str, split: str, block: int = BLOCK_ROWS) -> DataFrame:
     """(row_idx_a, row_idx_b), the smaller first: every pair of an evaluation and a training
     row with the same path or hashes within five bits."""
     r, hashes, paths = cross_split_matches(rows, row_id, path, phash, split)
     ev, tr = r.filter("NOT train"), r.filter("train")
-    by_hash = hashes.join(ev.select(F.col("h").alias("e"), F.col("id").alias("ei")), "e").join(tr.select(F.col("h").alias("t"), F.col("id").alias("ti")), "t").select("ei", "ti")
-    by_path = paths.join(ev.select("p", F.col("id").alias("ei")), "p").join(tr.select("p", F.col("id").alias("ti")), "p").select("ei", "ti")
+    by_hash = row_pairs(hashes, ev.select(F.col("h").alias("e"), F.col("id").alias("ei")), tr.select(F.col("h").alias("t"), F.col("id").alias("ti")), block)
+    by_path = row_pairs(paths.select(F.col("p").alias("e"), F.col("p").alias("t")), ev.select(F.col("p").alias("e"), F.col("id").alias("ei")), tr.select(F.col("p").alias("t"), F.col("id").alias("ti")), block)
     both = by_hash.unionByName(by_path).select(F.least("ei", "ti").alias("row_idx_a"), F.greatest("ei", "ti").alias("row_idx_b"))
     return both.distinct()
 

@@ -217,6 +217,8 @@ def test_cross_split_pairs(spark):
     ok = [(i, re.sub(r"/(?:\.?/)+", "/", p) if p else None, int(h, 16) if h and h != "zz" else None, (s or "").strip().lower() in ("", "seen")) for i, p, h, s, _, _ in data if i is not None]
     want = {(min(a[0], b[0]), max(a[0], b[0])) for a in ok for b in ok if not a[3] and b[3] and ((a[1] and a[1] == b[1]) or (a[2] is not None and b[2] is not None and (a[2] ^ b[2]).bit_count() <= 5))}
     assert got == want and len(want) > 100
+    cut = [tuple(r) for r in cross_split_pairs(df, "row_idx", "path", "h", "hint", block=4).collect()]
+    assert len(cut) == len(set(cut)) and set(cut) == want
     pairs = {(r["e"], r["t"]) for r in cross_split_matches(df, "row_idx", "path", "h", "hint")[1].collect()}
     _, grid, paths = cross_split_matches(df, "row_idx", "path", "h", "hint", shard_values=5, task_values=7)
     grid = [(r["e"], r["t"]) for r in grid.collect()]

@@ -88,7 +88,6 @@ class Dedup:
     cross_label: bool = False
     report_bits: int = 4
     band_bits: int = 16
-    max_bucket: int = 256
     lock_size: int = 64
     flat_threshold: int = 3
     hash_buckets: int = 128
@@ -110,7 +109,7 @@ class Dedup:
                 contents = part if contents is None else contents.unionByName(part)
         index = materialize(index.join(contents, "path", "left"))
         index.write.mode("overwrite").parquet(f"{self.out_dir}/scan_index")
-        near, members = D.near_edges(index, "row_idx", self.phash_bits, self.dhash_bits, self.max_difference, self.aspect, self.cross_label, self.report_bits, self.band_bits, self.max_bucket, every=self.every_pair)
+        near, members = D.near_edges(index, "row_idx", self.phash_bits, self.dhash_bits, self.max_difference, self.aspect, self.cross_label, self.report_bits, None if self.every_pair else self.band_bits)
         edges = D.exact_edges(index, "row_idx", {"raw_sha1": "exact_bytes", "pixel_sha1": "exact_pixels"}).unionByName(near).unionByName(D.member_edges(members)).unionByName(D.pair_lock_edges(index, "row_idx"))
         if self.prompt_family:
             edges = edges.unionByName(D.prompt_lock_edges(index, "row_idx", self.prompt_family, self.lock_size))

@@ -71,43 +71,77 @@ def lsh_candidates(df: DataFrame, row_id: str, bits: str, band_bits: int = 16, m
     return left.join(right, ["k", "v"]).filter("a < b").select("a", "b").distinct()
 
 
-def _refined_candidates(classes: DataFrame, band_bits: int, max_bucket: int, phash_bits: int, dhash_bits: int) -> DataFrame:
-    """Pairs inside the bands above ``max_bucket``, joined by an exact second blocking: hashes within
-    phash_bits (dhash_bits) agree in one of phash_bits + 1 (dhash_bits + 1) stretches."""
-    bands = max(1, 64 // band_bits)
-    each = classes.select("rep", "ph", "dh", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), band(F.col("ph"), k, band_bits).alias("v")) for k in range(bands)])).alias("x")).select("rep", "ph", "dh", "x.k", "x.v")
-    hot = each.groupBy("k", "v").agg(F.count("*").alias("n")).filter(F.col("n") > max_bucket).select("k", "v")
-    inside = each.join(hot, ["k", "v"])
-
-    def stretches(c: str, n: int, kind: str) -> list[Column]:
-        cuts = [round(i * 64 / n) for i in range(n + 1)]
-        part = lambda i: F.shiftrightunsigned(F.col(c), cuts[i]).bitwiseAND(F.lit((1 << (cuts[i + 1] - cuts[i])) - 1))
-        return [F.struct(F.lit(kind).alias("t"), F.lit(i).alias("i"), part(i).alias("p")) for i in range(n)]
-
-    keyed = inside.select("rep", "k", "v", F.explode(F.array(*stretches("ph", phash_bits + 1, "p"), *stretches("dh", dhash_bits + 1, "d"))).alias("y")).select("rep", "k", "v", "y.*").filter("p IS NOT NULL")
-    on = ["k", "v", "t", "i", "p"]
-    return keyed.withColumnRenamed("rep", "a").join(keyed.withColumnRenamed("rep", "b"), on).filter("a < b").select("a", "b").distinct()
+def _shared_band(a: Column, b: Column, band_bits: int) -> Column:
+    """Whether two hashes agree in one of their bands."""
+    x, n = a.bitwiseXOR(b), max(1, 64 // max(1, band_bits))
+    out = F.lit(False)
+    for k in range(n):
+        out = out | (F.shiftrightunsigned(x, k * band_bits).bitwiseAND(F.lit((1 << band_bits) - 1 if band_bits < 64 else -1)) == 0)
+    return out
 
 
-def _exact_candidates(classes: DataFrame, phash_bits: int, dhash_bits: int) -> DataFrame:
-    """(a, b), a < b: all pairs within phash_bits or dhash_bits, and others.
+def hamming_pairs(classes: DataFrame, limits: Mapping[str, int], cell: int = 50_000) -> DataFrame:
+    """(a, b), a < b, once each: all pairs of ``rep`` whose 64-bit columns differ in at most ``limits[column]``
+    bits, in one column or another. Null values are near nothing.
 
-    Of bits // 2 + 1 stretches of a hash, at least two, one differs in a bit at most, so each
-    stretch meets those of its value with no bit or one bit turned.
+    Of limit + 1 stretches of a column one agrees; rows are sent to the values of their stretches, several
+    values to a task, and compared there in NumPy. A value held by more than ``cell`` rows is cut into a
+    grid of blocks that meet pairwise. A pair comes out where its first common stretch is.
     """
-    exact, turned = [], []
-    for c, bits in (("ph", phash_bits), ("dh", dhash_bits)):
-        n = max(2, bits // 2 + 1)
-        cuts = [round(i * 64 / n) for i in range(n + 1)]
-        for i in range(n):
-            width = cuts[i + 1] - cuts[i]
-            part = F.shiftrightunsigned(F.col(c), cuts[i]).bitwiseAND(F.lit((1 << width) - 1))
-            of = lambda p: F.struct(F.lit(f"{c}{i}").alias("t"), p.alias("p"))  # noqa: B023, E731
-            exact.append(of(part))
-            turned += [of(part)] + [of(part.bitwiseXOR(F.lit(1 << k))) for k in range(width)]
-    left = classes.select(F.col("rep").alias("a"), F.explode(F.array(*turned)).alias("x")).select("a", "x.*").filter("p IS NOT NULL")
-    right = classes.select(F.col("rep").alias("b"), F.explode(F.array(*exact)).alias("x")).select("b", "x.*").filter("p IS NOT NULL")
-    return left.join(right, ["t", "p"]).filter("a < b").select("a", "b").distinct()
+    cuts = {c: [round(i * 64 / (bits + 1)) for i in range(bits + 2)] for c, bits in limits.items()}
+    names = list(limits)
+    parts, kinds = [], []
+    for c in names:
+        for i, (low, high) in enumerate(zip(cuts[c], cuts[c][1:])):
+            p = F.shiftrightunsigned(F.col(c), low).bitwiseAND(F.lit((1 << (high - low)) - 1 if high - low < 64 else -1))
+            parts.append(F.struct(F.lit(len(kinds)).alias("t"), p.alias("p")))
+            kinds.append((c, i))
+    values = [F.coalesce(c, F.lit(0)).alias(c) for c in names] + [F.col(c).isNotNull().alias(f"known_{c}") for c in names]
+    held = [*names, *(f"known_{c}" for c in names)]
+    each = classes.select("rep", *values, F.array(*parts).alias("__s")).select("rep", *held, F.explode("__s").alias("__s")).select("rep", *held, "__s.t", "__s.p").filter("p IS NOT NULL")
+    hot = materialize(each.groupBy("t", "p").agg(F.ceil(F.count("*") / cell).cast("int").alias("n")).filter("n > 1"))
+    shards = max(1, classes.count() // 2_000)
+    each = lookup_join(each, hot, ["t", "p"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    own = F.pmod(F.xxhash64("rep"), F.col("n")).cast("int")
+    each = each.withColumn("i", own).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    shard = F.when(F.col("n") > 1, F.col("p") + shards).otherwise(F.pmod("p", F.lit(shards)))
+    each = each.select("t", shard.alias("shard"), F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "p", "rep", *held)
+
+    def scan(key, pdf):
+        import numpy as np
+        import pandas as pd
+
+        t, _, lo, hi = (int(k) for k in key)
+        column, place = kinds[t]
+        h = {c: pdf[c].to_numpy(np.int64).view(np.uint64) for c in names}
+        rep, block, p = pdf["rep"].to_numpy(), pdf["i"].to_numpy(), pdf["p"].to_numpy()
+        order = np.argsort(p, kind="stable")
+        starts = np.append(np.flatnonzero(np.r_[True, p[order][1:] != p[order][:-1]]), len(p))
+        found = []
+        for s, e in zip(starts, starts[1:]):
+            rows = order[s:e]
+            left, right = (rows, rows) if lo == hi else (rows[block[rows] == lo], rows[block[rows] == hi])
+            step = max(1, 4_000_000 // max(1, len(right)))
+            for k in range(0, len(left), step):
+                x = left[k : k + step]
+                near = np.bitwise_count(h[column][x][:, None] ^ h[column][right][None, :]) <= limits[column]
+                u, v = np.nonzero(near)
+                if lo == hi:
+                    u, v = u[v > u + k], v[v > u + k]
+                u, v = x[u], right[v]
+                # found before: by an earlier column, or an earlier stretch of this one
+                new = np.ones(len(u), dtype=bool)
+                for c in names[: names.index(column)]:
+                    known = pdf["known_" + c].to_numpy()
+                    new &= (np.bitwise_count(h[c][u] ^ h[c][v]) > limits[c]) | ~(known[u] & known[v])
+                apart = h[column][u] ^ h[column][v]
+                for low, high in list(zip(cuts[column], cuts[column][1:]))[:place]:
+                    new &= (apart >> np.uint64(low)) & np.uint64((1 << (high - low)) - 1) != 0
+                found.append(np.stack([rep[u[new]], rep[v[new]]]))
+        out = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
+        return pd.DataFrame({"a": out.min(axis=0), "b": out.max(axis=0)}).astype("int64")
+
+    return each.groupBy("t", "shard", "lo", "hi").applyInPandas(scan, "a bigint, b bigint")
 
 
 def near_edges(
@@ -119,19 +153,16 @@ def near_edges(
     aspect: float = 0.12,
     cross_label: bool = False,
     report_bits: int = 4,
-    band_bits: int = 16,
-    max_bucket: int = 256,
-    whole: bool = True,
-    every: bool = False,
+    band_bits: int | None = None,
+    max_bucket: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(edges, members) of near-duplicate pictures.
 
     Readable rows with the same hashes, thumbnail, size and label form a class, represented by
-    the smallest id; members is (row_idx, rep). Edges link representatives that share a band
-    of phash64 and lie within the limits: same label near_hash, another label near_hash_cross_label if
-    ``cross_label``, else suspicious_cross_label_near within ``report_bits``. Bands of more than
-    ``max_bucket`` classes are blocked a second time, losing nothing, or left out if not ``whole``.
-    With ``every`` pairs within the limits need share no band: bands and buckets play no part.
+    the smallest id; members is (row_idx, rep). Edges link all representatives within the limits: same
+    label near_hash, another label near_hash_cross_label if ``cross_label``, else
+    suspicious_cross_label_near within ``report_bits``. With ``band_bits`` pairs must also share a band of so many
+    bits of phash64, which loses some; with ``max_bucket`` too, not one held by more classes.
     """
     ok = df.filter((F.col("read_ok") == 1) & hash_to_long("phash64").isNotNull())
     facts = ["phash64", "dhash64", "thumb8_hex", "width", "height", "label"]
@@ -139,12 +170,14 @@ def near_edges(
     classes = materialize(ok.groupBy(*facts).agg(F.min("id").alias("rep")))
     members = lookup_join(ok, classes, facts).select(F.col("id").alias(row_id), "rep")
     c = materialize(classes.select("rep", "label", hash_to_long("phash64").alias("ph"), hash_to_long("dhash64").alias("dh"), thumb_bytes("thumb8_hex").alias("thumb"), log_aspect("width", "height").alias("la")))
-    limits = max(phash_bits, report_bits), max(dhash_bits, report_bits - 2, 1)
-    pairs = _exact_candidates(c, *limits) if every else lsh_candidates(c, "rep", "ph", band_bits, max_bucket)
-    if whole and not every:
-        pairs = pairs.unionByName(_refined_candidates(c, band_bits, max_bucket, *limits)).distinct()
+    if band_bits and max_bucket:
+        pairs = lsh_candidates(c, "rep", "ph", band_bits, max_bucket)
+    else:
+        pairs = hamming_pairs(c, {"ph": max(phash_bits, report_bits), "dh": max(dhash_bits, report_bits - 2, 1)})
     a, b = (c.select(*[F.col(x).alias(f"{s}_{x}") for x in c.columns]) for s in "ab")
     j = pairs.join(a, F.col("a") == F.col("a_rep")).join(b, F.col("b") == F.col("b_rep")).filter(F.abs(F.col("a_la") - F.col("b_la")) <= aspect)
+    if band_bits and not max_bucket:
+        j = j.filter(_shared_band(F.col("a_ph"), F.col("b_ph"), band_bits))
     ph, dh = hamming(F.col("a_ph"), F.col("b_ph")), hamming(F.col("a_dh"), F.col("b_dh"))
     j = j.withColumns({"ph": ph, "dh": dh, "mae": mean_difference(F.col("a_thumb"), F.col("b_thumb"))}).filter(F.col("mae") <= max_difference)
     close = (F.col("ph") <= phash_bits) | (F.col("dh") <= dhash_bits)

@@ -33,7 +33,7 @@ def q_prompt_lock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _near(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return D.near_edges(_index(spark, sf_dir))
+    return D.near_edges(_index(spark, sf_dir), band_bits=16)
 
 
 def q_near_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,11 @@ def q_near_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _near(spark, sf_dir)[0]
 
 
+def q_near_edges_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without the condition that hashes share a band, which loses some pairs."""
+    return D.near_edges(_index(spark, sf_dir))[0]
+
+
 def q_near_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every readable row."""
     return _near(spark, sf_dir)[1]
@@ -208,6 +213,11 @@ m AS (SELECT x, y, bit_count(xor({_L.replace('{0}', 'a.phash64')}, {_L.replace('
   WHERE abs(ln(greatest(a.width, 1) / CAST(greatest(a.height, 1) AS DOUBLE)) - ln(greatest(b.width, 1) / CAST(greatest(b.height, 1) AS DOUBLE))) <= 0.12),
 near AS (SELECT x AS src_idx, y AS dst_idx, CASE WHEN same AND (ph <= 8 OR dh <= 6) THEN 'near_hash' WHEN NOT same AND (ph <= 4 OR dh <= 2) THEN 'suspicious_cross_label_near' END AS reason,
   printf('ph=%d,dh=%d,mae=%.2f', ph, dh, mae) AS score, CASE WHEN same THEN 'dedup' ELSE 'suspicious' END AS stage FROM m WHERE mae <= 6.0)"""
+_H = "regexp_full_match({0}, '[0-9a-f]{{1,16}}')"
+_CAND = f"""bits AS (SELECT row_idx, {_L.replace('{0}', 'phash64')} AS p, CASE WHEN {_H.replace('{0}', 'dhash64').replace('{{', '{').replace('}}', '}')} THEN {_L.replace('{0}', 'dhash64')} END AS d FROM cl),
+cand AS (SELECT a.row_idx AS x, b.row_idx AS y FROM bits a JOIN bits b ON a.row_idx < b.row_idx AND (bit_count(xor(a.p, b.p)) <= 8 OR bit_count(xor(a.d, b.d)) <= 6)),
+"""
+_NEAR_ALL = _NEAR[: _NEAR.index("bands AS")] + _CAND + _NEAR[_NEAR.index("m AS (SELECT x, y") :]
 _EDGES = f"""{_NEAR},
 edges AS ({_exact_sql()} UNION ALL SELECT * FROM near WHERE reason IS NOT NULL
   UNION ALL SELECT rep, row_idx, 'near_hash', 'ph=0,dh=0,mae=0.00', 'dedup' FROM members WHERE row_idx > rep UNION ALL {_PAIR} UNION ALL {_PROMPT})"""
@@ -242,6 +252,7 @@ SQL = {
     "q_pair_lock": _PAIR,
     "q_prompt_lock": _PROMPT,
     "q_near_edges": f"WITH {_NEAR} SELECT * FROM near WHERE reason IS NOT NULL",
+    "q_near_edges_all": f"WITH {_NEAR_ALL} SELECT * FROM near WHERE reason IS NOT NULL",
     "q_near_members": f"WITH {_CLASSES} SELECT * FROM members",
     "q_lsh_candidates": f"""WITH b AS (SELECT vec_id, {_SIGN} AS s FROM (SELECT vec_id, unnest(embedding) AS e, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY 1),
 c AS (SELECT min(vec_id) AS vec_id, s FROM b GROUP BY s), k AS (SELECT vec_id, j, (s >> (8 * j)::INT) & 255 AS v FROM c, (SELECT unnest(range(8)) AS j)),

@@ -172,10 +172,10 @@ def near_input(spark):
     return data, spark.createDataFrame(data, "row_idx bigint, read_ok int, phash64 string, dhash64 string, thumb8_hex string, width int, height int, label int")
 
 
-@pytest.mark.parametrize("bits,bucket,whole", [(16, 256, False), (16, 256, True), (4, 3, True)])
-def test_near_edges(spark, bits, bucket, whole):
+@pytest.mark.parametrize("bits,bucket", [(16, 256), (16, None), (4, None)])
+def test_near_edges(spark, bits, bucket):
     data, df = near_input(spark)
-    edges, members = D.near_edges(df, band_bits=bits, max_bucket=bucket, whole=whole)
+    edges, members = D.near_edges(df, band_bits=bits, max_bucket=bucket)
     rep = {r["row_idx"]: r["rep"] for r in members.collect()}
     ok = {r[0]: r for r in data if r[1] == 1 and r[2]}
     assert set(rep) == set(ok) and all(ok[i][2:] == ok[r][2:] for i, r in rep.items())
@@ -202,7 +202,7 @@ def test_near_edges(spark, bits, bucket, whole):
 
 def test_every_near_pair(spark):
     data, df = near_input(spark)
-    edges, members = D.near_edges(df, every=True)
+    edges, members = D.near_edges(df)
     ok = {r[0]: r for r in data if r[1] == 1 and r[2]}
     reps = sorted({r["rep"] for r in members.collect()})
     want = set()
@@ -216,7 +216,24 @@ def test_every_near_pair(spark):
                 want.add((x, y))
     got = [(r["src_idx"], r["dst_idx"]) for r in edges.collect()]
     assert set(got) == want and len(got) == len(want)
-    assert D.near_edges(df)[0].count() < len(want)
+    assert D.near_edges(df, band_bits=16)[0].count() < len(want)
+
+
+@pytest.mark.parametrize("cell", [7, 50_000])
+def test_hamming_pairs(spark, cell):
+    rng = random.Random(5)
+    base = [rng.getrandbits(64) for _ in range(6)] + [0]
+    data = []
+    for i in range(150):
+        h = [rng.choice(base) for _ in range(2)]
+        h = [x ^ sum(1 << b for b in rng.sample(range(64), rng.choice([0, 2, 4, 5]))) for x in h]
+        data.append((i, *[None if rng.random() < 0.1 else x - (1 << 64 if x >> 63 else 0) for x in h]))
+    df = spark.createDataFrame(data, "rep bigint, x bigint, y bigint")
+    near = lambda a, b, n: a is not None and b is not None and ((a ^ b) & (1 << 64) - 1).bit_count() <= n
+    want = {(a[0], b[0]) for a in data for b in data if a[0] < b[0] and (near(a[1], b[1], 4) or near(a[2], b[2], 3))}
+    got = [tuple(r) for r in D.hamming_pairs(df, {"x": 4, "y": 3}, cell).collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert D.hamming_pairs(df.limit(0), {"x": 4}).count() == 0
 
 
 def test_apply_edges(spark):

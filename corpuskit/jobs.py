@@ -136,7 +136,10 @@ class Dedup:
 
 @dataclass
 class Semantic:
-    """Clean index, its report and vectors (path, vector) to pruned index with tight units."""
+    """Clean index, its report and vectors (path, vector) to pruned index with tight units.
+
+    recall: the probability with which a pair at the cosine threshold is found; None finds every pair.
+    """
 
     clean_index: str
     report: str
@@ -149,6 +152,7 @@ class Semantic:
     skip_datasets: Sequence[str] = ()
     skip_sources: Sequence[str] = ()
     tiers: Sequence[dict] = TIERS
+    recall: float | None = 0.99
     base_columns: Sequence[str] = ("split_component_id", "dedup_component_id", "group_id")
 
     def run(self, spark: SparkSession) -> dict:
@@ -166,7 +170,7 @@ class Semantic:
         for t, k in sorted({(r["cosine_threshold"], r["topk"]) for r in sizes}):
             own = [r["source"] for r in sizes if (r["cosine_threshold"], r["topk"]) == (t, k)]
             reps, copies = X.vector_classes(pool.filter(F.col("source").isin(*own)).select("row_idx", "source", "vector"), "row_idx", "source", "vector")
-            part = X.semantic_edges(X.cosine_neighbours(reps, "row_idx", "source", "vector", t, k)).unionByName(copies)
+            part = X.semantic_edges(X.cosine_neighbours(reps, "row_idx", "source", "vector", t, k, self.recall)).unionByName(copies)
             edges = part if edges is None else edges.unionByName(part)
         edges = materialize(edges)
         base = first_present(rows, self.base_columns)

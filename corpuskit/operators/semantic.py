@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Mapping, Sequence
 
@@ -14,22 +13,20 @@ from .graph import clean_edges, star_components
 from .ranking import running_sums, value_buckets
 
 
-def unit_vector(c: Column | str) -> Column:
-    """Doubles of length one; a zero vector stays zero."""
-    v = F.transform(F.col(c) if isinstance(c, str) else c, lambda x: x.cast("double"))
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(v, lambda x: x / F.greatest(norm, F.lit(1e-12)))
+def sign_tables(threshold: float, recall: float, rows: int, most: int = 16) -> tuple[int, int]:
+    """(tables, bits): hash tables of signs of random projections in which a pair at the threshold shares
+    a bucket with probability ``recall``, at the most bits a bucket that ``most`` tables allow.
 
-
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-
-
-def _directions(dim: int, count: int, seed: int = 7) -> list[list[float]]:
-    import numpy as np
-
-    q, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(dim, min(count, dim))))
-    return q.T.tolist()
+    (1, 0), one bucket, where the tables would not at least halve the pairs compared, or rows are few.
+    """
+    same = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    best = (1, 0)
+    for bits in range(1, max(1, rows // 100).bit_length() + 1):
+        hit = same**bits
+        tables = 1 if hit >= recall else math.ceil(math.log(1 - recall) / math.log(1 - hit))
+        if tables <= most and tables / 2**bits < 0.5:
+            best = (tables, bits)
+    return best
 
 
 def vector_classes(df: DataFrame, row_id: str, source: str, vector: str) -> tuple[DataFrame, DataFrame]:
@@ -44,29 +41,71 @@ def vector_classes(df: DataFrame, row_id: str, source: str, vector: str) -> tupl
     return own, edges
 
 
-def cosine_neighbours(df: DataFrame, row_id: str, source: str, vector: str, threshold: float, topk: int | None = None, dim: int | None = None, directions: int = 3) -> DataFrame:
+def cosine_neighbours(df: DataFrame, row_id: str, source: str, vector: str, threshold: float, topk: int | None = None, recall: float | None = None, block: int = 4_000, seed: int = 7) -> DataFrame:
     """source, row_a, row_b, cosine, rank: pairs of a source at or above threshold, from either side.
 
-    Exact blocking: unit vectors with cosine t or more lie within r = sqrt(2 - 2t), so their
-    projections on any direction differ by r at most; rows meet only in the same or a
-    neighbouring cell of width r. Rank counts from 1, self excluded, ties by the other id; with topk
-    only ranks up to topk - 1 stay. Null ids, sources and vectors match nothing. Where vectors repeat, bring
+    Every pair is found, or with ``recall`` a pair at the threshold with that probability and closer ones more
+    surely: rows then meet only where the signs of some random projections agree (sign_tables). A bucket of more than
+    ``block`` rows is cut into a grid of blocks that meet pairwise, each pair of blocks one matrix
+    product. Rank counts from 1, self excluded, ties by the other id; with topk
+    only ranks up to topk - 1 stay. Null ids, sources and vectors match nothing, nor do vectors of
+    different length. Where vectors repeat, bring
     the representatives of vector_classes, so that copies aren't paired with each other.
     """
     rows = df.select(F.col(row_id).alias("id"), F.col(source).alias("src"), F.col(vector).alias("v")).filter("id IS NOT NULL AND src IS NOT NULL AND v IS NOT NULL")
-    if dim is None:
-        first = rows.select(F.size("v")).first()
-        dim = first[0] if first else 1
-    r = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
-    dirs = _directions(dim, directions)
-    rows = rows.withColumn("v", unit_vector("v"))
-    cells = F.array(*[F.floor(dot(F.col("v"), F.array(*[F.lit(x) for x in d])) / r).cast("bigint") for d in dirs])
-    rows = materialize(rows.withColumn("cell", cells))
-    steps = itertools.product((-1, 0, 1), repeat=len(dirs))
-    around = F.array(*[F.array(*[F.get("cell", F.lit(k)) + x for k, x in enumerate(step)]) for step in steps])
-    a = rows.select(F.col("src"), F.col("id").alias("row_a"), F.col("v").alias("va"), F.explode(around).alias("cell"))
-    b = rows.select(F.col("src"), F.col("id").alias("row_b"), F.col("v").alias("vb"), "cell")
-    pairs = a.join(b, ["src", "cell"]).filter("row_a <> row_b").withColumn("cosine", dot(F.col("va"), F.col("vb"))).filter(F.col("cosine") >= threshold)
+    kinds = dict(rows.dtypes)
+    tables, bits = 1, 0
+    if recall is not None:
+        largest = rows.groupBy("src").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+        tables, bits = sign_tables(threshold, recall, largest)
+
+    def coded(batches):
+        import numpy as np
+
+        planes: dict = {}
+        for pdf in batches:
+            out = np.zeros((len(pdf), tables), dtype=np.int64)
+            for dim in set(map(len, pdf["v"])):
+                at = np.flatnonzero([len(v) == dim for v in pdf["v"]])
+                if dim not in planes:
+                    planes[dim] = np.random.default_rng(seed).normal(size=(dim, tables * bits))
+                signs = np.stack(pdf["v"].iloc[at]).astype(float) @ planes[dim] > 0
+                out[at] = signs.reshape(len(at), tables, bits) @ (1 << np.arange(bits))
+            yield pdf.assign(codes=list(out))
+
+    schema = f"id {kinds['id']}, src {kinds['src']}, v {kinds['v']}, codes array<bigint>"
+    rows = materialize(rows.mapInPandas(coded, schema) if bits else rows.withColumn("codes", F.array(F.lit(0).cast("bigint"))))
+    keys = ["src", "dim", "t", "code"]
+    where = rows.select("src", "id", F.size("v").alias("dim"), F.posexplode("codes").alias("t", "code"))
+    hot = where.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("n")).filter("n > 1")
+    each = rows.select("id", "src", "v", "codes", F.size("v").alias("dim"), F.posexplode("codes").alias("t", "code"))
+    each = lookup_join(each, hot, keys, "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    each = each.withColumn("i", F.pmod(F.xxhash64("id"), F.col("n")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    each = each.select(*keys, F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "id", "v", "codes")
+
+    def meet(key, pdf):
+        import numpy as np
+        import pandas as pd
+
+        src, table, lo, hi = key[0], int(key[2]), key[-2], key[-1]
+        v = np.stack(pdf["v"]).astype(float)
+        v /= np.maximum(np.sqrt((v * v).sum(axis=1, keepdims=True)), 1e-12)
+        codes, ids, i = np.stack(pdf["codes"]), pdf["id"].to_numpy(), pdf["i"].to_numpy()
+        left, right = (np.arange(len(v)),) * 2 if lo == hi else (np.flatnonzero(i == lo), np.flatnonzero(i == hi))
+        parts = []
+        for k in range(0, len(left), 1_000):
+            x = left[k : k + 1_000]
+            cosine = v[x] @ v[right].T
+            a, b = np.nonzero(cosine >= threshold)
+            if lo == hi:
+                a, b = a[b > a + k], b[b > a + k]
+            c, a, b = cosine[a, b], x[a], right[b]
+            new = ~(codes[a, :table] == codes[b, :table]).any(axis=1)  # else an earlier table has it
+            parts.append(pd.DataFrame({"row_a": ids[a[new]], "row_b": ids[b[new]], "cosine": c[new]}))
+        out = pd.concat(parts)
+        return pd.concat([out, out.rename(columns={"row_a": "row_b", "row_b": "row_a"})])[["row_a", "row_b", "cosine"]].assign(src=src)
+
+    pairs = each.groupBy(*keys, "lo", "hi").applyInPandas(meet, f"row_a {kinds['id']}, row_b {kinds['id']}, cosine double, src {kinds['src']}")
     w = Window.partitionBy("src", "row_a").orderBy(F.desc("cosine"), "row_b")
     out = pairs.withColumn("rank", F.row_number().over(w)).select(F.col("src").alias(source), "row_a", "row_b", "cosine", "rank")
     return out if topk is None else out.filter(F.col("rank") <= max(2, topk) - 1)

@@ -391,3 +391,20 @@ def test_heldout_and_single(spark):
     one = P.single_stage_splits(sample_rows(spark), {"val": (11, 12), "train": (50, 40)}, seed=1)
     assert one["val"].count() == 23 and one["train"].count() == 90
     assert one["val"].join(one["train"], "path").count() == 0
+
+
+def test_cosine_neighbours_with_recall(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(1500, 96))
+    base[750:] = base[:750] + rng.normal(size=(750, 96)) * 0.09  # cosine about 0.996
+    df = spark.createDataFrame([(i, i % 2 and "s" or "s", [float(x) for x in v]) for i, v in enumerate(base)], "id bigint, s string, v array<float>")
+    want = {(r["row_a"], r["row_b"]) for r in X.cosine_neighbours(df, "id", "s", "v", 0.992, block=400).collect()}
+    u = base / np.linalg.norm(base, axis=1, keepdims=True)
+    a, b = np.nonzero(u @ u.T >= 0.992)
+    assert want == {(int(x), int(y)) for x, y in zip(a, b) if x != y} and len(want) > 1000
+    got = [(r["row_a"], r["row_b"]) for r in X.cosine_neighbours(df, "id", "s", "v", 0.992, recall=0.99).collect()]
+    assert len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.97 * len(want)
+    tables, bits = X.sign_tables(0.992, 0.99, 300_000)
+    assert tables / 2**bits < 0.01 and X.sign_tables(0.3, 0.99, 500) == (1, 0)

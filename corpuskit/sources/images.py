@@ -139,12 +139,14 @@ def picture_hashes(rgb, cache: dict | None = None) -> dict:
     h, w = rgb.shape[:2]
     g = gray(rgb)
     cache = {} if cache is None else cache
-    small, wide, big = (np.round(resize(g, a, b, cache)) for a, b in ((8, 8), (8, 9), (32, 32)))
+    # halves are told apart from what sums leave of them
+    small, wide, big = (np.round(np.round(resize(g, a, b, cache), 6)) for a, b in ((8, 8), (8, 9), (32, 32)))
     if "dct" not in cache:
         k = np.arange(32)
         cache["dct"] = np.cos(np.pi * (2 * k[None, :] + 1) * k[:, None] / 64) * np.where(k == 0, np.sqrt(1 / 32), np.sqrt(2 / 32))[:, None]
     basis = cache["dct"]
     low = (basis @ big @ basis.T)[:8, :8].reshape(-1)
+    low = np.round(low, 6)
     frequency = low > np.median(low[1:])
     frequency[0] = False
     return {

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from pathlib import Path
 
 import yaml
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -58,43 +58,49 @@ def source_specs(manifest: Mapping) -> list[dict]:
     return out
 
 
-def list_files(spark: SparkSession, root: str, recursive: bool, exts: Sequence[str]) -> DataFrame:
-    """path, file_size_bytes, mtime of a directory's pictures; contents are not read."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).option("ignoreMissingFiles", "true").load(root)
-    ending = "|".join(exts)
+def list_files(spark: SparkSession, roots: Sequence[str], recursive: bool) -> DataFrame:
+    """path, file_size_bytes, mtime of the directories' files; contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).option("ignoreMissingFiles", "true").load(list(roots))
     plain = F.regexp_replace("path", "^file:/*", "/")
-    return found.filter(F.col("path").rlike(rf"(?i)\.({ending})$")).select(plain.alias("path"), F.col("length").alias("file_size_bytes"), F.unix_micros("modificationTime").alias("__m")).withColumn("mtime", F.col("__m") / 1e6).drop("__m")
+    return found.select(plain.alias("path"), F.col("length").alias("file_size_bytes"), F.unix_micros("modificationTime").alias("__m")).withColumn("mtime", F.col("__m") / 1e6).drop("__m")
 
 
 def _missing(spark: SparkSession, root: str) -> bool:
+    """Whether a root doesn't exist or holds no file; the walk ends at the first."""
     p = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return not fs.exists(p) or fs.getContentSummary(p).getFileCount() == 0
+    return not fs.exists(p) or not fs.listFiles(p, True).hasNext()
 
 
 def scan_manifest(spark: SparkSession, manifest: Mapping, strict: bool = False, pair_family: str | None = None, prompt_family: str | None = None) -> DataFrame:
     """The sample index: one row a file, the first source of the manifest that lists it.
 
-    Missing and empty roots are left out, or fail in strict mode once all are known.
+    Missing and empty roots are left out, or fail in strict mode once all are known. All roots are listed
+    together; a file's source is looked up by its path.
     """
-    specs, bad, frames = source_specs(manifest), [], []
-    for s in specs:
-        if _missing(spark, s["root"]):
-            bad.append(s["root"])
-            continue
-        facts = {k: F.lit(v) for k, v in s.items() if k not in ("recursive", "exts", "root")}
-        frames.append(list_files(spark, s["root"], s["recursive"], s["exts"]).withColumns(facts | {"source_root": F.lit(s["root"])}))
+    specs = source_specs(manifest)
+    bad = [s["root"] for s in specs if _missing(spark, s["root"])]
     if bad and strict:
         raise FileNotFoundError(f"missing or empty: {', '.join(bad)}")
-    if not frames:
+    specs = [s for s in specs if s["root"] not in bad]
+    if not specs:
         raise ValueError("no source has files")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    first = Window.partitionBy("path").orderBy("seq")
-    out = out.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n", "seq")
+    out = None
+    for recursive in (True, False):
+        roots = list(dict.fromkeys(s["root"] for s in specs if s["recursive"] is recursive))
+        if roots:
+            part = list_files(spark, roots, recursive)
+            out = part if out is None else out.unionByName(part)
+    facts = [k for k in specs[0] if k not in ("seq", "recursive", "exts", "root")]
+    table = F.array(*[
+        F.struct(F.regexp_replace(F.lit(s["root"]), "^file:/*", "/").alias("__root"), F.lit(s["recursive"]).alias("__deep"), F.array(*[F.lit(e) for e in s["exts"]]).alias("__ends"), F.lit(s["root"]).alias("source_root"), *[F.lit(s[k]).alias(k) for k in facts])
+        for s in specs
+    ])
+    path, folder, ending = F.col("path"), F.regexp_replace("path", "/[^/]*$", ""), F.lower(F.substring_index("path", ".", -1))
+    lists = lambda s: path.startswith(F.concat(s["__root"], F.lit("/"))) & F.array_contains(s["__ends"], ending) & (s["__deep"] | (folder == s["__root"]))
+    out = out.dropDuplicates(["path"]).withColumn("__s", F.get(F.filter(table, lists), F.lit(0))).filter("__s IS NOT NULL").select("path", "file_size_bytes", "mtime", *[F.col(f"__s.{k}").alias(k) for k in ("source_root", *facts)])
     out = out.withColumns({
-        "relpath": F.expr("substring(path, length(source_root) + 2)"),
+        "relpath": F.expr("substring(path, length(regexp_replace(source_root, '^file:/*', '/')) + 2)"),
         "filename": T.file_name("path"),
         "stem": T.file_stem("path"),
         "content_id": T.stem_id(T.file_stem("path")),

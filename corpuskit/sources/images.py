@@ -191,12 +191,12 @@ def hash_images(df: DataFrame, content: str = "content", decode: Callable = deco
     return whole.mapInPandas(run, f"{schema + ', ' if schema else ''}raw_sha1 string, {HASHES}")
 
 
-def read_images(df_paths: DataFrame, root: str, recursive: bool = True) -> DataFrame:
-    """path, content of all files under root that df_paths names."""
-    spark = df_paths.sparkSession
+def read_images(spark: SparkSession, root: str, endings: Sequence[str] | None = None, recursive: bool = True) -> DataFrame:
+    """path, content of all files under root, or of those with the endings, in lower case."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(root)
-    files = files.select(F.regexp_replace("path", "^file:/*", "/").alias("path"), "content")
-    return files.join(df_paths.select("path"), "path", "left_semi")
+    if endings is not None:
+        files = files.filter(F.lower(F.substring_index("_metadata.file_name", ".", -1)).isin(list(endings)))
+    return files.select(F.regexp_replace("path", "^file:/*", "/").alias("path"), "content")
 
 
 def read_pixels(spark: SparkSession, root: str, endings: Sequence[str] | None = None) -> DataFrame:
@@ -224,28 +224,40 @@ def named_decoder(name: str) -> Callable:
     return decode
 
 
-def hash_files(paths: DataFrame, root: str, decode: Callable | None = None) -> DataFrame:
+def hash_files(paths: DataFrame, root: str, decode: Callable | None = None, batch: int = 256) -> DataFrame:
     """path, raw_sha1 and the HASHES columns of the files under root that paths names.
 
     Files go to one decoder after the other until one reads them: decode_png, the JVM's (JPEG, BMP,
-    GIF), ``decode``. raw_sha1 is always that of the file. Files that none reads keep read_ok 0.
+    GIF), ``decode``. raw_sha1 is always that of the file. Files that none reads keep read_ok 0. A Python
+    worker is handed ``batch`` files at a time.
     """
-    from ..operators.common import materialize
-
-    fields = [f.split()[0] for f in HASHES.split(", ")]
-    out = materialize(hash_images(read_images(paths, root)))
+    conf, name = paths.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, str(batch))
+    try:
+        return _hash_files(paths, root, decode)
+    finally:
+        conf.set(name, before)
+
+
+def _hash_files(paths: DataFrame, root: str, decode: Callable | None) -> DataFrame:
+    from ..operators.common import lookup_join, materialize
+
+    spark, fields = paths.sparkSession, [f.split()[0] for f in HASHES.split(", ")]
+    wanted = paths.select("path").distinct()
+    ends = lambda df: [r[0] for r in df.select(F.lower(F.substring_index("path", ".", -1))).distinct().collect()]
+    # contents are hashed where they are read, and only then joined: no picture is moved
+    out = materialize(lookup_join(hash_images(read_images(spark, root, ends(wanted))), wanted, ["path"], "left_semi"))
     for again in ("jvm", "own"):
         left = out.filter("read_ok = 0").select("path")
         if again == "own" and decode is None or left.isEmpty():
             continue
         if again == "jvm":
-            endings = [r[0] for r in left.select(F.lower(F.substring_index("path", ".", -1))).distinct().collect()]
-            pixels = read_pixels(paths.sparkSession, root, endings).filter("content IS NOT NULL").join(left, "path", "left_semi")
-            found = hash_images(pixels, decode=decode_raw)
+            found = hash_images(read_pixels(spark, root, ends(left)).filter("content IS NOT NULL"), decode=decode_raw)
         else:
-            found = hash_images(read_images(left, root), decode=decode)
-        found = found.filter("read_ok = 1").select("path", F.struct(*fields).alias("__found"))
-        merged = [F.when(F.col("__found").isNotNull(), F.col(f"__found.{c}")).otherwise(F.col(c)).alias(c) for c in fields]
+            found = hash_images(read_images(spark, root, ends(left)), decode=decode)
+        found = materialize(found.filter("read_ok = 1").select("path", F.struct(*fields).alias("__found")))
+        merged = [F.when(F.col("__found").isNotNull() & (F.col("read_ok") == 0), F.col(f"__found.{c}")).otherwise(F.col(c)).alias(c) for c in fields]
         out = materialize(out.join(found, "path", "left").select("path", "raw_sha1", *merged))
     return out
 

@@ -63,7 +63,7 @@ def test_yaml(tmp_path):
 
 def test_picture_hashes(spark, tree):
     paths = M.scan_manifest(spark, spec(tree)).select("path", "filename")
-    files = I.read_images(paths, f"{tree}/pool").join(paths, "path")
+    files = I.read_images(spark, f"{tree}/pool").join(paths, "path")
     got = {r["filename"]: r for r in I.hash_images(files).collect()}
     a, b, c = got["One_real.png"], got["two_v2.PNG"], got["low.png"]
     assert a["read_ok"] == 1 and (a["width"], a["height"]) == (50, 40)

@@ -101,9 +101,10 @@ def p4_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 _P4_AUDIT = """WITH p AS (SELECT DISTINCT lower(trim(source)) AS source, lower(trim(generator)) AS generator, label, path FROM train_csv WHERE path IS NOT NULL),
 k AS (SELECT t.source, t.generator, t.label, target_share, min_rows, path, row_number() OVER (PARTITION BY path ORDER BY t.source, t.generator, t.label) AS place FROM target_mix t JOIN p USING (source, generator, label)),
 n AS (SELECT source, generator, label, count(*) AS have FROM k GROUP BY ALL),
+o AS (SELECT min_rows, count(*) FILTER (WHERE place = 1) AS own FROM k GROUP BY source, generator, label, min_rows),
 size AS (SELECT count(DISTINCT path) // 5 AS size FROM train_csv)
 SELECT t.source, t.generator, t.label, coalesce(have, 0) AS available, round(target_share * size, 6) AS wanted, coalesce(have, 0) < target_share * size OR coalesce(have, 0) < min_rows AS short,
-  true AS drawn_once, true AS within, true AS reached, least(size, (SELECT count(*) FROM k WHERE place = 1)) AS sample_rows
+  true AS drawn_once, true AS within, true AS reached, (SELECT greatest(least(any_value(size), sum(own)), sum(least(own, min_rows))) FROM o, size)::BIGINT AS sample_rows
 FROM target_mix t LEFT JOIN n USING (source, generator, label), size"""
 _P4 = """WITH p AS (SELECT DISTINCT lower(trim(source)) AS source, lower(trim(generator)) AS generator, label, path FROM train_csv WHERE path IS NOT NULL),
 n AS (SELECT source, generator, label, count(*) AS have FROM p GROUP BY ALL),

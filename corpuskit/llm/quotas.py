@@ -97,7 +97,7 @@ def sample_by_targets(
 ) -> tuple[DataFrame, DataFrame]:
     """(sample, report).
 
-    The sample has floor(distinct items / one_in) rows at most, one an item, and the columns
+    The sample has floor(distinct items / one_in) rows at most, or more where the minimums ask for more, one an item, and the columns
     item, *columns, quota. String columns are trimmed and lower-cased. Null items are left out; rows
     outside the targets count as items but are not drawn; an item listed under several
     categories counts as available in each and is drawn once, under the first of them; its

@@ -166,10 +166,13 @@ def semantic_components(rows: DataFrame, edges: DataFrame, row_id: str, source:
     ids = materialize(ids.select(source, "__r", "semantic_component_size", F.format_string("sem:%s:%07d", source, F.col("__n") - 1).alias("semantic_component_id")))
     out = lookup_join(out, ids, [source, "__r"])
     area = F.coalesce("width", F.lit(0)).cast("bigint") * F.coalesce("height", F.lit(0))
+    out = materialize(out.drop("__r"))
+    # at most three rows of a component are kept, so every partition cuts it to three before it is gathered
     w = Window.partitionBy("semantic_component_id").orderBy(area.desc(), F.desc_nulls_last("sample_weight"), "path", row_id)
-    out = out.withColumn("__rank", F.row_number().over(w))
-    kept = (F.col("__rank") <= keep_budget(F.col("semantic_component_size"))).cast("int")
-    return out.withColumn("keep_stage2_semantic", kept).withColumn("drop_stage2_semantic", 1 - kept).drop("__r", "__rank")
+    first = out.withColumn("__rank", F.row_number().over(w)).filter("__rank <= 3").filter(F.col("__rank") <= keep_budget(F.col("semantic_component_size")))
+    out = lookup_join(out, first.select(row_id, F.lit(1).alias("__kept")), [row_id], "left")
+    kept = F.coalesce("__kept", F.lit(0))
+    return out.withColumn("keep_stage2_semantic", kept).withColumn("drop_stage2_semantic", 1 - kept).drop("__kept")
 
 
 def tight_units(rows: DataFrame, edges: DataFrame, row_id: str, base: str) -> DataFrame:

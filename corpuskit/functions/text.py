@@ -25,9 +25,14 @@ def number_or(c: Column | str, default: float) -> Column:
     return F.coalesce(col(c).cast("string").try_cast("double"), F.lit(float(default)))
 
 
+def norm(c: Column | str) -> Column:
+    """Trimmed (spaces of any kind) and lower-cased."""
+    return F.lower(F.regexp_replace(col(c), r"^\s+|\s+$", ""))
+
+
 def split_hint(c: Column | str) -> Column:
     """Trimmed and lower-cased; null and blank are ``seen``."""
-    h = F.lower(F.trim(col(c)))
+    h = norm(c)
     return F.when(h.isNull() | (h == ""), "seen").otherwise(h)
 
 

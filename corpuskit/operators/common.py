@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import norm  # noqa: F401 - operators and queries take it from here
+
 #: A side is broadcast only when it was measured and has at most so many rows and bytes.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
@@ -137,12 +139,6 @@ def spread(df: DataFrame, per_core: int = 4) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= least else df.repartition(least)
 
 
-def norm(c: Column | str) -> Column:
-    """Trimmed (spaces of any kind) and lower-cased."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.lower(F.regexp_replace(c, r"^\s+|\s+$", ""))
-
-
 def not_blank(c: Column) -> Column:
     return c.isNotNull() & (F.trim(c) != "")
 

@@ -74,3 +74,10 @@ def test_comparisons(spark):
 def test_norm(spark):
     assert one(spark, "\t A b ", norm) == "a b" and one(spark, None, norm) is None
     assert one(spark, "  ", not_blank) is False and one(spark, "x", not_blank) is True
+
+
+def test_hint_spaces(spark):
+    from corpuskit.functions.text import split_hint
+
+    df = spark.createDataFrame([("\tUnseen \n",), (" \t",), (None,), ("Seen",)], "h string")
+    assert [r[0] for r in df.select(split_hint("h")).collect()] == ["unseen", "seen", "seen", "seen"]
